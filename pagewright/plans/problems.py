@@ -90,3 +90,7 @@ def p5_found(spark: SparkSession, d: str) -> DataFrame:
 
 def queries() -> dict:
     return {q.__name__: q for q in (p1_found, p1_conflicts, p1_words, p4_found, p4_history, p5_found, p5_report)}
+
+
+def oracle_sql() -> dict[str, str]:
+    return {}
