@@ -1,9 +1,390 @@
-"""Placeholder."""
+"""Queries over the catalogue, the runs and the analysis ledger, and the scalar functions."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from pagewright.functions import scalars as S
+from pagewright.operators import catalog
+from pagewright.plans.registry import Registry
+from pagewright.session import once, table
+from pagewright.sources import fixtures as fx
+
+R = Registry()
+
+
+def _rows(spark: SparkSession, d: str, *cols: str) -> DataFrame:
+    return table(spark, d, "catalogue_row").select("row_id", *cols)
+
+
+# ------------------------------------------------------------------ scalar functions
+
+_CLEAN = r"trim(regexp_replace(coalesce({0}, ''), '[\s\x{{00a0}}]+', ' ', 'g'))"
+
+
+@R.query("SELECT row_id, " + _CLEAN.format("name") + " AS cleaned FROM catalogue_row")
+def clean_text(spark: SparkSession, d: str) -> DataFrame:
+    return _rows(spark, d, "name").select("row_id", S.clean_text(F.col("name")).alias("cleaned"))
+
+
+@R.query("SELECT row_id, regexp_replace(regexp_replace(lower(coalesce(name, '')), '[^a-z0-9]+', '-', 'g'), '^-+|-+$', '', 'g') AS slug FROM catalogue_row")
+def slug(spark: SparkSession, d: str) -> DataFrame:
+    return _rows(spark, d, "name").select("row_id", S.slug(F.col("name")).alias("slug"))
+
+
+@R.query(r"SELECT row_id, trim(regexp_replace(regexp_replace(regexp_replace(lower(coalesce(submitter, '')), ':+\s*$', ''), '[()\[\]]', ' ', 'g'), '[^0-9a-z]+', ' ', 'g')) AS label FROM catalogue_row")
+def norm_label(spark: SparkSession, d: str) -> DataFrame:
+    return _rows(spark, d, "submitter").select("row_id", S.norm_label(F.col("submitter")).alias("label"))
+
+
+@R.query(r"SELECT row_id, CASE WHEN s = '' THEN 'download' ELSE s END AS stem FROM (SELECT row_id, substr(regexp_replace(regexp_replace(regexp_replace(list_last(string_split(regexp_replace(coalesce(url, ''), '[?#].*$', ''), '/')), '(?i)\.pdf$', ''), '[^0-9A-Za-z._-]+', '_', 'g'), '^[._-]+|[._-]+$', '', 'g'), 1, 80) AS s FROM catalogue_row)")
+def url_stem(spark: SparkSession, d: str) -> DataFrame:
+    return _rows(spark, d, "url").select("row_id", S.url_stem(F.col("url")).alias("stem"))
+
+
+@R.query("SELECT row_id, CASE WHEN coalesce(name, '') = '' THEN 'unknown' ELSE regexp_replace(name, '[^0-9A-Za-z._-]', '_', 'g') END AS safe FROM catalogue_row")
+def safe_component(spark: SparkSession, d: str) -> DataFrame:
+    return _rows(spark, d, "name").select("row_id", S.safe_component(F.col("name")).alias("safe"))
+
+
+_DATES = """raw AS (SELECT row_id, CASE row_id % 6 WHEN 0 THEN strftime(observed_at, '%Y-%m-%d') WHEN 1 THEN strftime(observed_at, '%d/%m/%Y') WHEN 2 THEN strftime(observed_at, '%Y.%m.%d') WHEN 3 THEN strftime(observed_at, '%Y-%m-%dT%H:%M:%S') WHEN 4 THEN strftime(observed_at, '%m/%d/%Y') ELSE 'n/a' END AS s FROM catalogue_row)"""
+
+
+@R.query("WITH " + _DATES + r""", t AS (SELECT row_id, regexp_replace(trim(s), 'T.*$', '') AS s FROM raw) SELECT row_id, strftime(coalesce(
+  CASE WHEN regexp_matches(s, '^\d{4}-\d{1,2}-\d{1,2}$') THEN try_strptime(s, '%Y-%m-%d') END, CASE WHEN regexp_matches(s, '^\d{4}/\d{1,2}/\d{1,2}$') THEN try_strptime(s, '%Y/%m/%d') END, CASE WHEN regexp_matches(s, '^\d{4}\.\d{1,2}\.\d{1,2}$') THEN try_strptime(s, '%Y.%m.%d') END,
+  CASE WHEN regexp_matches(s, '^\d{1,2}/\d{1,2}/\d{4}$') THEN try_strptime(s, '%d/%m/%Y') END, CASE WHEN regexp_matches(s, '^\d{1,2}/\d{1,2}/\d{4}$') THEN try_strptime(s, '%m/%d/%Y') END), '%Y-%m-%d') AS iso FROM t""")
+def normalize_date(spark: SparkSession, d: str) -> DataFrame:
+    o, k = F.col("observed_at"), F.col("row_id") % 6
+    f = lambda p: F.date_format(o, p)
+    s = F.when(k == 0, f("yyyy-MM-dd")).when(k == 1, f("dd/MM/yyyy")).when(k == 2, f("yyyy.MM.dd")).when(k == 3, f("yyyy-MM-dd'T'HH:mm:ss")).when(k == 4, f("MM/dd/yyyy")).otherwise("n/a")
+    return _rows(spark, d, "observed_at").select("row_id", S.normalize_date(s).alias("iso"))
+
+
+@R.query(r"""WITH raw AS (SELECT row_id, (1985 + row_id % 60)::VARCHAR || '-' || (row_id % 14)::VARCHAR || '-' || (row_id % 33)::VARCHAR AS s FROM catalogue_row), p AS (SELECT row_id, CAST(split_part(s, '-', 1) AS INT) AS y, CAST(split_part(s, '-', 2) AS INT) AS m, CAST(split_part(s, '-', 3) AS INT) AS dd FROM raw)
+SELECT row_id, CASE WHEN y BETWEEN 1990 AND 2032 AND m BETWEEN 1 AND 12 AND dd >= 1 THEN strftime(make_date(y, m, least(dd, day(last_day(make_date(y, m, 1)))::INT)), '%Y-%m-%d') END AS day FROM p""")
+def parse_day(spark: SparkSession, d: str) -> DataFrame:
+    k = F.col("row_id")
+    s = F.concat_ws("-", (k % 60 + 1985).cast("string"), (k % 14).cast("string"), (k % 33).cast("string"))
+    return _rows(spark, d).select("row_id", S.parse_day(s, 2032).alias("day"))
+
+
+@R.query(r"SELECT row_id, nullif(regexp_extract(name, '\b(C\d{4,6})(?:-(\d+))?\b', 1), '') AS filing_number, nullif(regexp_extract(name, '\b(C\d{4,6})(?:-(\d+))?\b', 2), '') AS filing_sequence, nullif(regexp_extract(name, '\b((?:GH|XO|MH|OH)-\d+(?:-[0-9A-Z]+)?)\b', 1), '') AS order_number, CASE WHEN regexp_matches(name, '(?i)(pièce|annexe|étude|demandeur)') THEN 'fr' WHEN name IS NOT NULL THEN 'en' END AS marker FROM catalogue_row")
+def title_identifiers(spark: SparkSession, d: str) -> DataFrame:
+    n = F.col("name")
+    ex = lambda rx, i: F.nullif(F.regexp_extract(n, rx, i), F.lit(""))
+    number, order = r"\b(C\d{4,6})(?:-(\d+))?\b", r"\b((?:GH|XO|MH|OH)-\d+(?:-[0-9A-Z]+)?)\b"
+    return _rows(spark, d, "name").select("row_id", ex(number, 1).alias("filing_number"), ex(number, 2).alias("filing_sequence"), ex(order, 1).alias("order_number"), F.when(n.rlike("(?iu)(pièce|annexe|étude|demandeur)"), "fr").when(n.isNotNull(), "en").alias("marker"))
+
+
+@R.query("SELECT row_id, lower(trim(kind)) IN ('folder', 'filing', 'compound document', 'dossier') AS container, contains(lower(kind), 'paper') OR contains(lower(kind), 'papier') AS paper_only, contains(lower(kind), 'pdf') OR contains(lower(kind), 'letter') AS pdf FROM catalogue_row WHERE kind IS NOT NULL")
+def kind_predicates(spark: SparkSession, d: str) -> DataFrame:
+    k = F.lower("kind")
+    return _rows(spark, d, "kind").where("kind IS NOT NULL").select("row_id", F.trim(k).isin("folder", "filing", "compound document", "dossier").alias("container"), (k.contains("paper") | k.contains("papier")).alias("paper_only"), (k.contains("pdf") | k.contains("letter")).alias("pdf"))
+
+
+@R.query("SELECT DISTINCT id, least(60.0, 2.0 * pow(2.0, greatest(0, attempt_count - 1))) AS seconds FROM analyses WHERE attempt_count IS NOT NULL")
+def retry_delay(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "analyses").where("attempt_count IS NOT NULL").select("id", S.retry_delay(F.col("attempt_count")).alias("seconds")).distinct()
+
+
+@R.query("SELECT DISTINCT id, error_code IN ('408', '429', '500', '502', '503', '504', 'SERVICE_REQUEST_ERROR') AS retryable FROM analyses WHERE error_code IS NOT NULL")
+def retryable(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "analyses").where("error_code IS NOT NULL").select("id", F.col("error_code").isin(*S.RETRYABLE).alias("retryable")).distinct()
+
+
+@R.query("SELECT DISTINCT doc_id, CAST(s AS INT) AS first_page, CAST(least(s + 29, page_count) AS INT) AS last_page FROM (SELECT doc_id, page_count, unnest(range(1, page_count + 1, 30)) AS s FROM azure_meta WHERE page_count > 0)")
+def page_ranges(spark: SparkSession, d: str) -> DataFrame:
+    m = table(spark, d, "azure_meta").where("page_count > 0")
+    return m.select("doc_id", "page_count", F.explode(F.sequence(F.lit(1), "page_count", F.lit(30))).alias("first_page")).select("doc_id", "first_page", F.least(F.col("first_page") + 29, "page_count").alias("last_page")).distinct()
+
+
+@R.query("SELECT DISTINCT id, coalesce(nullif(regexp_replace(trim(document_id), '[^0-9A-Za-z._-]', '_', 'g'), ''), 'unknown') || '/' || file_sha256 || '/pages-' || printf('%04d-%04d', 1, coalesce(page_count, 0)) || '.json' AS path FROM analyses WHERE document_id IS NOT NULL")
+def artifact_paths(spark: SparkSession, d: str) -> DataFrame:
+    a = table(spark, d, "analyses").where("document_id IS NOT NULL")
+    return a.select("id", F.concat(S.safe_component(F.trim("document_id")), F.lit("/"), "file_sha256", F.format_string("/pages-%04d-%04d.json", F.lit(1), F.coalesce("page_count", F.lit(0)))).alias("path")).distinct()
+
+
+@R.query("""SELECT DISTINCT id, substr(sha256('{"analyzer":"' || analyzer_id || '","api":"' || api_version || '","file":"' || file_sha256 || '"}'), 1, 8) AS signature FROM analyses""")
+def run_signature(spark: SparkSession, d: str) -> DataFrame:
+    body = F.concat(F.lit('{"analyzer":"'), "analyzer_id", F.lit('","api":"'), "api_version", F.lit('","file":"'), "file_sha256", F.lit('"}'))
+    return table(spark, d, "analyses").select("id", F.left(F.sha2(body, 256), F.lit(8)).alias("signature")).distinct()
+
+
+@R.query("""WITH b AS (SELECT row_id, CASE row_id % 4 WHEN 0 THEN '%PDF-1.7 ' || coalesce(name, '') WHEN 1 THEN '  <!DOCTYPE html><p>' || coalesce(name, '') WHEN 2 THEN 'II*' || coalesce(name, '') ELSE coalesce(name, '') END AS c FROM catalogue_row)
+SELECT row_id, CASE WHEN starts_with(c, '%PDF-') THEN 'application/pdf' WHEN starts_with(c, 'II*') OR starts_with(c, 'MM') THEN 'image/tiff' WHEN regexp_matches(lower(substr(ltrim(c), 1, 1024)), '^<(!doctype html|html)') THEN 'text/html' ELSE 'application/octet-stream' END AS mime FROM b""")
+def sniff_mime(spark: SparkSession, d: str) -> DataFrame:
+    k, n = F.col("row_id") % 4, F.coalesce("name", F.lit(""))
+    c = F.when(k == 0, F.concat(F.lit("%PDF-1.7 "), n)).when(k == 1, F.concat(F.lit("  <!DOCTYPE html><p>"), n)).when(k == 2, F.concat(F.lit("II*"), n)).otherwise(n)
+    return _rows(spark, d, "name").select("row_id", S.sniff(c).alias("mime"))
+
+
+@R.query("SELECT doc_id, sha256(text) AS sha256, strlen(text) AS size_bytes FROM documents WHERE text IS NOT NULL")
+def file_digest(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "documents").where("text IS NOT NULL").select("doc_id", F.sha2("text", 256).alias("sha256"), F.octet_length("text").cast("long").alias("size_bytes"))
+
+
+_HTML = "h AS (SELECT row_id, CASE row_id % 4 WHEN 0 THEN '<table><tbody><tr>' || coalesce(name, '') WHEN 1 THEN '<p>1 to 20 out of about 1,' || (100 + row_id % 900)::VARCHAR || '</p>' WHEN 2 THEN '<p>Aucun résultat</p>' ELSE '<p>Service unavailable</p>' END AS html FROM catalogue_row)"
+
+
+@R.query("WITH " + _HTML + r" SELECT row_id, contains(html, '<tbody') OR regexp_matches(html, 'out of about [\d,]+') OR regexp_matches(lower(html), '(no results|aucun résultat)') AS recognized, try_cast(replace(regexp_extract(html, 'out of about ([\d,]+)', 1), ',', '') AS INT) AS total FROM h")
+def html_recognized(spark: SparkSession, d: str) -> DataFrame:
+    k = F.col("row_id")
+    html = F.when(k % 4 == 0, F.concat(F.lit("<table><tbody><tr>"), F.coalesce("name", F.lit("")))).when(k % 4 == 1, F.concat(F.lit("<p>1 to 20 out of about 1,"), (k % 900 + 100).cast("string"), F.lit("</p>"))).when(k % 4 == 2, "<p>Aucun résultat</p>").otherwise("<p>Service unavailable</p>")
+    ok = html.contains("<tbody") | html.rlike(r"out of about [\d,]+") | F.lower(html).rlike("(no results|aucun résultat)")
+    return _rows(spark, d, "name").select("row_id", ok.alias("recognized"), F.regexp_replace(F.regexp_extract(html, r"out of about ([\d,]+)", 1), ",", "").try_cast("int").alias("total"))
+
+
+@R.query("SELECT document_id FROM (SELECT DISTINCT document_id FROM catalogue_row WHERE document_id IS NOT NULL) ORDER BY try_cast(document_id AS BIGINT) NULLS LAST, lower(document_id), document_id")
+def doc_order(spark: SparkSession, d: str) -> DataFrame:
+    ids = table(spark, d, "catalogue_row").where("document_id IS NOT NULL").select("document_id").distinct()
+    return ids.orderBy(F.col("document_id").try_cast("bigint").asc_nulls_last(), F.lower("document_id"), "document_id")
+
+
+_LOG = "log AS (SELECT event_id % 50 AS run, event_id AS line_no, CASE WHEN event_id % 3 = 0 THEN '[ingest] ' || (event_id % 20)::VARCHAR || '/20 pages' ELSE 'note ' || event_id::VARCHAR END AS line FROM events)"
+
+
+@R.query("WITH " + _LOG + r", m AS (SELECT run, line_no, try_cast(regexp_extract(line, '\[ingest\] (\d+)/(\d+) pages', 1) AS INT) AS done FROM log) SELECT run, arg_max(done, line_no) AS done FROM m WHERE done IS NOT NULL GROUP BY run")
+def last_logged_page(spark: SparkSession, d: str) -> DataFrame:
+    e = F.col("event_id")
+    line = F.when(e % 3 == 0, F.concat(F.lit("[ingest] "), (e % 20).cast("string"), F.lit("/20 pages"))).otherwise(F.concat(F.lit("note "), e.cast("string")))
+    m = table(spark, d, "events").select((e % 50).alias("run"), e.alias("line_no"), F.regexp_extract(line, r"\[ingest\] (\d+)/(\d+) pages", 1).try_cast("int").alias("done")).where("done IS NOT NULL")
+    return m.groupBy("run").agg(F.max_by("done", "line_no").alias("done"))
+
+
+@R.query("WITH " + fx.LINES_SQL + r", w AS (SELECT doc_id, page_no, upper(unnest(regexp_extract_all(line, '[A-Za-z]{6,}'))) AS word FROM lines), h AS (SELECT DISTINCT doc_id, page_no, word FROM w WHERE page_no % 2 = 1), g AS (SELECT DISTINCT doc_id, page_no - 1 AS page_no, word FROM w WHERE page_no % 2 = 0) SELECT * FROM g ANTI JOIN h USING (doc_id, page_no, word)")
+def figure_words(spark: SparkSession, d: str) -> DataFrame:
+    """Words of a figure (here: the next line) that its page does not have yet."""
+    w = fx.lines(spark, d).select("doc_id", "page_no", F.explode(F.regexp_extract_all("line", F.lit("([A-Za-z]{6,})"), F.lit(1))).alias("word")).withColumn("word", F.upper("word"))
+    page, figure = w.where("page_no % 2 = 1").distinct(), w.where("page_no % 2 = 0").select("doc_id", (F.col("page_no") - 1).alias("page_no"), "word").distinct()
+    return figure.join(page, ["doc_id", "page_no", "word"], "left_anti")
+
+
+# ------------------------------------------------------------------ catalogue
+
+
+@R.query("SELECT document_id, crawl_no, row_id, name FROM catalogue_row QUALIFY row_number() OVER (PARTITION BY document_id, crawl_no ORDER BY observed_at, row_id) = 1")
+def crawl_dedupe(spark: SparkSession, d: str) -> DataFrame:
+    return catalog.first_seen(table(spark, d, "catalogue_row").select("document_id", "crawl_no", "observed_at", "row_id", "name"), ["document_id", "crawl_no"], ["observed_at", "row_id"]).drop("observed_at")
+
+
+@R.query("SELECT row_id, CASE WHEN count(*) OVER (PARTITION BY filing_id, crawl_no, name) > 1 OR NOT is_file THEN 'row:' || filing_id || ':' || substr(sha256(coalesce(name, '')), 1, 12) ELSE document_id END AS item_id FROM catalogue_row WHERE filing_id IS NOT NULL")
+def synthetic_ids(spark: SparkSession, d: str) -> DataFrame:
+    """Rows whose name repeats within a container, or that are no file, get an id made from both."""
+    c = table(spark, d, "catalogue_row").where("filing_id IS NOT NULL").select("row_id", "document_id", "filing_id", "crawl_no", "name", "is_file")
+    # The count is pre-aggregated and joined, so a filing of any size needs no window of its own.
+    n = c.groupBy("filing_id", "crawl_no", "name").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.col("filing_id").alias("_f"), F.col("crawl_no").alias("_c"), F.col("name").alias("_n"), F.lit(True).alias("again"))
+    j = c.join(n, (F.col("filing_id") == F.col("_f")) & F.col("crawl_no").eqNullSafe(F.col("_c")) & F.col("name").eqNullSafe(F.col("_n")), "left")
+    made = F.concat(F.lit("row:"), "filing_id", F.lit(":"), F.left(F.sha2(F.coalesce("name", F.lit("")), 256), F.lit(12)))
+    return j.select("row_id", F.when(F.col("again") | ~F.col("is_file"), made).otherwise(F.col("document_id")).alias("item_id"))
+
+
+@R.query("SELECT filing_id, crawl_no, count(DISTINCT document_id) AS members, max(row_id % 5) AS total, bool_and(row_id % 50 <> 0) AS ok, bool_and(row_id % 50 <> 0) AND count(DISTINCT document_id) >= max(row_id % 5) AS complete FROM catalogue_row WHERE filing_id IS NOT NULL GROUP BY ALL")
+def container_complete(spark: SparkSession, d: str) -> DataFrame:
+    c = table(spark, d, "catalogue_row").where("filing_id IS NOT NULL").select("filing_id", "crawl_no", "document_id", "row_id")
+    g = c.groupBy("filing_id", "crawl_no").agg(F.countDistinct("document_id").alias("members"), F.max(F.col("row_id") % 5).alias("total"), F.bool_and(F.col("row_id") % 50 != 0).alias("ok"))
+    return g.withColumn("complete", F.col("ok") & (F.col("members") >= F.col("total")))
+
+
+_EDGES = "edges AS (SELECT c_custkey // 3 AS parent, c_custkey AS child FROM customer UNION SELECT 7, 2)"
+
+
+@R.query("WITH RECURSIVE " + _EDGES + ", walk AS (SELECT n_nationkey::BIGINT AS root, n_nationkey::BIGINT AS node, 0 AS depth FROM nation UNION SELECT root, child, depth + 1 FROM walk JOIN edges ON parent = node WHERE depth < 12) SELECT root, node, min(depth) AS depth FROM walk GROUP BY root, node")
+def container_walk(spark: SparkSession, d: str) -> DataFrame:
+    """Nested containers with a deliberate cycle, walked from every nation key."""
+    k = F.col("c_custkey")
+    edges = table(spark, d, "customer").select(F.floor(k / 3).cast("long").alias("parent"), k.alias("child"))
+    edges = edges.unionByName(spark.sql("SELECT 7L AS parent, 2L AS child"))
+    return catalog.container_walk(edges, table(spark, d, "nation").select(F.col("n_nationkey").cast("long").alias("root")), 12)
+
+
+@R.query("SELECT document_id, list_sort(list(DISTINCT filing_number)) AS containers FROM catalogue_row WHERE filing_number IS NOT NULL AND document_id IS NOT NULL GROUP BY document_id")
+def container_membership(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "catalogue_row").where("filing_number IS NOT NULL AND document_id IS NOT NULL").groupBy("document_id").agg(F.array_sort(F.collect_set("filing_number")).alias("containers"))
+
+
+@R.query("SELECT project, list_sort(list(DISTINCT kind)) AS kinds FROM catalogue_row WHERE project IS NOT NULL AND kind IS NOT NULL GROUP BY project")
+def facet_union(spark: SparkSession, d: str) -> DataFrame:
+    """Union of what two sets of crawls saw: the sets are built apart and united, as a merge does."""
+    c = table(spark, d, "catalogue_row").where("project IS NOT NULL AND kind IS NOT NULL")
+    sets = c.groupBy("project").agg(F.array_sort(F.collect_set(F.when(F.col("crawl_no") <= 32, F.col("kind")))).alias("before"), F.array_sort(F.collect_set(F.when(F.col("crawl_no") > 32, F.col("kind")))).alias("after"))
+    return sets.select("project", F.array_sort(F.array_distinct(F.concat("before", "after"))).alias("kinds"))
+
+
+FIELDS = ["name", "company", "project", "filing_number"]
+_SNAPS = """old AS (SELECT document_id, name, company, project, filing_number FROM catalogue_row WHERE crawl_no <= 32 AND document_id IS NOT NULL QUALIFY row_number() OVER (PARTITION BY document_id ORDER BY crawl_no DESC, loaded_at DESC, row_id DESC) = 1),
+new AS (SELECT document_id, name, company, project, filing_number FROM catalogue_row WHERE crawl_no > 32 AND document_id IS NOT NULL QUALIFY row_number() OVER (PARTITION BY document_id ORDER BY crawl_no DESC, loaded_at DESC, row_id DESC) = 1)"""
+_strip = lambda f: f"nullif(regexp_replace(n.{f}, '^[\\s\\x{{00a0}}]+|[\\s\\x{{00a0}}]+$', '', 'g'), '')"
+_PICK = {f: f"coalesce({_strip(f)}, o.{f})" for f in FIELDS}
+_MERGED = "WITH " + _SNAPS + ", merged AS (SELECT coalesce(o.document_id, n.document_id) AS document_id, " + ", ".join(f"{p} AS {f}" for f, p in _PICK.items()) + ", CASE WHEN o.document_id IS NULL THEN 'new' WHEN n.document_id IS NULL THEN 'absent' WHEN " + " OR ".join(f"{p} IS DISTINCT FROM o.{f}" for f, p in _PICK.items()) + " THEN 'updated' ELSE 'unchanged' END AS status FROM old o FULL JOIN new n ON o.document_id = n.document_id)"
+
+
+def _snapshots(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    c = table(spark, d, "catalogue_row").where("document_id IS NOT NULL").select("document_id", "crawl_no", "loaded_at", "row_id", *FIELDS)
+    return tuple(catalog.latest(c.where(w), ["document_id"], ["crawl_no", "loaded_at", "row_id"]).select("document_id", *FIELDS) for w in ("crawl_no <= 32", "crawl_no > 32"))
+
+
+@R.query(_MERGED + " SELECT * FROM merged")
+def record_merge(spark: SparkSession, d: str) -> DataFrame:
+    return catalog.merge(*_snapshots(spark, d), "document_id", FIELDS)
+
+
+@R.query("WITH " + _SNAPS + " SELECT * FROM (" + " UNION ALL ".join(f"SELECT o.document_id, '{f}' AS field, o.{f} AS old, {_strip(f)} AS new FROM old o JOIN new n ON o.document_id = n.document_id" for f in FIELDS) + ") WHERE new IS NOT NULL AND new IS DISTINCT FROM old")
+def record_changes(spark: SparkSession, d: str) -> DataFrame:
+    return catalog.changes(*_snapshots(spark, d), "document_id", FIELDS)
+
+
+@R.query("SELECT CASE WHEN NOT is_file THEN 'not a file' WHEN synthetic THEN 'synthetic' WHEN NOT regexp_matches(document_id, '^[0-9]+$') THEN 'no numeric id' WHEN url IS NULL THEN 'no url' ELSE 'eligible' END AS reason, count(*) AS n FROM catalogue_row GROUP BY ALL")
+def scout_tally(spark: SparkSession, d: str) -> DataFrame:
+    reason = F.when(~F.col("is_file"), "not a file").when(F.col("synthetic"), "synthetic").when(~F.col("document_id").rlike("^[0-9]+$"), "no numeric id").when(F.col("url").isNull(), "no url").otherwise("eligible")
+    return table(spark, d, "catalogue_row").groupBy(reason.alias("reason")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@R.query("SELECT doc_id, coalesce(nullif(title, ''), document_id, 'untitled') AS title, try_cast(document_id AS BIGINT) AS item FROM documents d WHERE NOT EXISTS (SELECT 1 FROM docling_gz g WHERE g.doc_id = d.document_id)")
+def seed_records(spark: SparkSession, d: str) -> DataFrame:
+    docs, have = table(spark, d, "documents"), table(spark, d, "docling_gz").select(F.col("doc_id").alias("document_id")).distinct()
+    return docs.join(have, "document_id", "left_anti").select("doc_id", F.coalesce(F.nullif("title", F.lit("")), "document_id", F.lit("untitled")).alias("title"), F.col("document_id").try_cast("bigint").alias("item"))
+
+
+@R.query("SELECT DISTINCT doc_id FROM docling_gz g WHERE NOT EXISTS (SELECT 1 FROM azure_gz a WHERE a.doc_id = g.doc_id)")
+def missing_records(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "docling_gz").select("doc_id").distinct().join(table(spark, d, "azure_gz").select("doc_id").distinct(), "doc_id", "left_anti")
+
+
+# ------------------------------------------------------------------ runs
+
+_RUNS = "runs AS (SELECT *, page_count IS NOT NULL AND meta_id % 9 <> 0 AS finished, run_id = 'r2b94d5f' AS pinned FROM docling_meta QUALIFY row_number() OVER (PARTITION BY meta_id ORDER BY doc_id) = 1)"
+
+
+def _runs(spark: SparkSession, d: str) -> DataFrame:
+    m = once(table(spark, d, "docling_meta").select("meta_id", "doc_id", "run_id", "ingested_at", "page_count", "warning_total", "elapsed_seconds"), "meta_id")
+    return m.withColumn("finished", F.col("page_count").isNotNull() & (F.col("meta_id") % 9 != 0)).withColumn("pinned", F.col("run_id") == "r2b94d5f")
+
+
+@R.query("WITH " + _RUNS + " SELECT doc_id, run_id, meta_id FROM runs QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY run_id, meta_id) = 1")
+def pick_run_first(spark: SparkSession, d: str) -> DataFrame:
+    return catalog.first_seen(_runs(spark, d).select("doc_id", "run_id", "meta_id"), ["doc_id"], ["run_id", "meta_id"])
+
+
+@R.query("WITH " + _RUNS + " SELECT doc_id, run_id, meta_id FROM runs QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY run_id DESC, meta_id DESC) = 1")
+def pick_run_last(spark: SparkSession, d: str) -> DataFrame:
+    return catalog.latest(_runs(spark, d).select("doc_id", "run_id", "meta_id"), ["doc_id"], ["run_id", "meta_id"])
+
+
+@R.query("WITH " + _RUNS + " SELECT doc_id, meta_id FROM runs QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY ingested_at DESC NULLS LAST, meta_id DESC) = 1")
+def latest_run(spark: SparkSession, d: str) -> DataFrame:
+    return catalog.latest(_runs(spark, d).select("doc_id", "ingested_at", "meta_id"), ["doc_id"], ["ingested_at", "meta_id"]).select("doc_id", "meta_id")
+
+
+@R.query("WITH " + _RUNS + " SELECT meta_id, doc_id, CASE WHEN NOT finished THEN 'untouched' WHEN row_number() OVER (PARTITION BY doc_id, finished ORDER BY pinned DESC, ingested_at DESC, meta_id DESC) = 1 THEN 'keep' ELSE 'remove' END AS action FROM runs")
+def retention_plan(spark: SparkSession, d: str) -> DataFrame:
+    return catalog.retention(_runs(spark, d).select("meta_id", "doc_id", "ingested_at", "finished", "pinned"), "doc_id", ["ingested_at", "meta_id"], "pinned").select("meta_id", "doc_id", "action")
+
+
+@R.query("WITH " + _RUNS + " SELECT doc_id, count(*) AS runs, count(*) FILTER (finished) AS finished, CAST(sum(warning_total) AS BIGINT) AS warnings FROM runs GROUP BY doc_id")
+def run_index(spark: SparkSession, d: str) -> DataFrame:
+    return _runs(spark, d).groupBy("doc_id").agg(F.count(F.lit(1)).alias("runs"), F.count_if("finished").alias("finished"), F.sum("warning_total").alias("warnings"))
+
+
+@R.query("WITH " + _RUNS + " SELECT DISTINCT g.doc_id FROM docling_gz g ANTI JOIN (SELECT doc_id, run_id FROM runs WHERE finished) r ON g.doc_id = r.doc_id AND g.run_id = r.run_id")
+def resume_plan(spark: SparkSession, d: str) -> DataFrame:
+    """Filings whose run is not finished under the same signature."""
+    done = _runs(spark, d).where("finished").select("doc_id", "run_id")
+    return table(spark, d, "docling_gz").select("doc_id", "run_id").distinct().join(done, ["doc_id", "run_id"], "left_anti").select("doc_id").distinct()
+
+
+@R.query("WITH " + _RUNS + ", s AS (SELECT doc_id, bool_or(finished) AS f, max(page_count) AS p FROM runs GROUP BY doc_id) SELECT g.doc_id, CASE WHEN s.doc_id IS NULL THEN 'not started' WHEN coalesce(p, 0) = 0 THEN 'EMPTY' WHEN f THEN 'complete' ELSE 'INCOMPLETE' END AS status FROM (SELECT DISTINCT document_id AS doc_id FROM documents WHERE document_id IS NOT NULL) g LEFT JOIN s ON s.doc_id = g.doc_id")
+def run_status(spark: SparkSession, d: str) -> DataFrame:
+    s = _runs(spark, d).groupBy("doc_id").agg(F.bool_or("finished").alias("f"), F.max("page_count").alias("p"), F.lit(True).alias("has"))
+    w = table(spark, d, "documents").where("document_id IS NOT NULL").select(F.col("document_id").alias("doc_id")).distinct().join(s, "doc_id", "left")
+    return w.select("doc_id", F.when(F.col("has").isNull(), "not started").when(F.coalesce("p", F.lit(0)) == 0, "EMPTY").when(F.col("f"), "complete").otherwise("INCOMPLETE").alias("status"))
+
+
+# ------------------------------------------------------------------ ledger
+
+_AN = "an AS (SELECT *, ltrim(regexp_extract(document_id, '(\\d+)', 1), '0') AS doc_id FROM analyses QUALIFY row_number() OVER (PARTITION BY id ORDER BY run_id) = 1)"
+
+
+def _ledger(spark: SparkSession, d: str) -> DataFrame:
+    a = once(table(spark, d, "analyses"), "id")
+    return a.withColumn("doc_id", F.regexp_replace(F.regexp_extract("document_id", r"(\d+)", 1), "^0+", ""))
+
+
+@R.query("SELECT DISTINCT g.doc_id, g.run_id FROM docling_gz g JOIN (SELECT DISTINCT document_id FROM catalogue_row WHERE is_file) c ON c.document_id = g.doc_id")
+def current_files(spark: SparkSession, d: str) -> DataFrame:
+    files = table(spark, d, "catalogue_row").where("is_file").select(F.col("document_id").alias("doc_id")).distinct()
+    return table(spark, d, "docling_gz").select("doc_id", "run_id").distinct().join(files, "doc_id", "left_semi")
+
+
+@R.query("WITH " + _AN + " SELECT doc_id, id, status FROM an QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY id DESC) = 1")
+def latest_analysis(spark: SparkSession, d: str) -> DataFrame:
+    return catalog.latest(_ledger(spark, d).select("doc_id", "id", "status"), ["doc_id"], ["id"])
+
+
+@R.query("WITH " + _AN + " SELECT DISTINCT doc_id FROM docling_gz g WHERE NOT EXISTS (SELECT 1 FROM an WHERE an.doc_id = g.doc_id AND status = 'SUCCEEDED')")
+def eligible_candidates(spark: SparkSession, d: str) -> DataFrame:
+    done = _ledger(spark, d).where("status = 'SUCCEEDED'").select("doc_id").distinct()
+    return table(spark, d, "docling_gz").select("doc_id").distinct().join(done, "doc_id", "left_anti")
+
+
+_VALID = "az AS (SELECT doc_id, analyzer_id, CAST(sum(len(contents)) AS BIGINT) AS parts FROM azure_gz WHERE contents IS NOT NULL GROUP BY ALL)"
+
+
+@R.query("WITH " + _AN + ", " + _VALID + " SELECT an.id, CASE WHEN az.doc_id IS NULL THEN 'no artifact' WHEN an.analyzer_id IS DISTINCT FROM az.analyzer_id THEN 'other analyzer' WHEN coalesce(parts, 0) = 0 THEN 'empty contents' WHEN an.page_count IS NULL THEN 'no page count' END AS invalid_reason FROM an LEFT JOIN (SELECT doc_id, min(analyzer_id) AS analyzer_id, CAST(sum(parts) AS BIGINT) AS parts FROM az GROUP BY doc_id) az ON az.doc_id = an.doc_id")
+def artifact_validate(spark: SparkSession, d: str) -> DataFrame:
+    return _validated(spark, d).select("id", "invalid_reason")
+
+
+def _validated(spark: SparkSession, d: str) -> DataFrame:
+    az = table(spark, d, "azure_gz").where("contents IS NOT NULL").select("doc_id", "analyzer_id", F.size("contents").alias("n")).groupBy("doc_id").agg(F.min("analyzer_id").alias("az_analyzer"), F.sum("n").alias("parts"), F.lit(True).alias("has"))
+    j = _ledger(spark, d).join(az, "doc_id", "left")
+    reason = F.when(F.col("has").isNull(), "no artifact").when(~F.col("analyzer_id").eqNullSafe(F.col("az_analyzer")), "other analyzer").when(F.coalesce("parts", F.lit(0)) == 0, "empty contents").when(F.col("page_count").isNull(), "no page count")
+    return j.withColumn("invalid_reason", reason)
+
+
+@R.query("WITH " + _AN + ", " + _VALID + ", ok AS (SELECT doc_id, CAST(sum(parts) AS BIGINT) AS parts FROM az GROUP BY doc_id) SELECT an.id, CASE WHEN status = 'SUCCEEDED' AND (ok.doc_id IS NULL OR coalesce(parts, 0) = 0) THEN 'STALE_ARTIFACTS' ELSE status END AS status FROM an LEFT JOIN ok ON ok.doc_id = an.doc_id")
+def audit_artifacts(spark: SparkSession, d: str) -> DataFrame:
+    """A success whose artifact is gone or empty is stale."""
+    stale = (F.col("status") == "SUCCEEDED") & (F.col("has").isNull() | (F.coalesce("parts", F.lit(0)) == 0))
+    return _validated(spark, d).select("id", F.when(stale, "STALE_ARTIFACTS").otherwise(F.col("status")).alias("status"))
+
+
+_KEY = ["doc_id", "file_sha256", "analyzer_id", "api_version"]
+
+
+@R.query("WITH " + _AN + " SELECT doc_id, file_sha256, analyzer_id, api_version, max(id) AS id, arg_max(status, id) AS status, count(*) AS writes FROM an GROUP BY doc_id, file_sha256, analyzer_id, api_version")
+def ledger_upsert(spark: SparkSession, d: str) -> DataFrame:
+    """Last write wins on the four-column identity."""
+    return _ledger(spark, d).groupBy(*_KEY).agg(F.max("id").alias("id"), F.max_by("status", "id").alias("status"), F.count(F.lit(1)).alias("writes"))
+
+
+@R.query("WITH " + _AN + ", ok AS (SELECT doc_id, max(id) AS good FROM an WHERE status = 'SUCCEEDED' GROUP BY doc_id) SELECT an.id, an.error_code, good IS NOT NULL AND good > an.id AS resolved FROM an LEFT JOIN ok ON ok.doc_id = an.doc_id WHERE error_code IS NOT NULL")
+def resolve_errors(spark: SparkSession, d: str) -> DataFrame:
+    """An error is resolved by a later success of the same filing."""
+    a = _ledger(spark, d)
+    ok = a.where("status = 'SUCCEEDED'").groupBy("doc_id").agg(F.max("id").alias("good"))
+    return a.where("error_code IS NOT NULL").join(ok, "doc_id", "left").select("id", "error_code", F.coalesce(F.col("good") > F.col("id"), F.lit(False)).alias("resolved"))
+
+
+@R.query("WITH " + _AN + " SELECT run_id, count(*) FILTER (status = 'SUCCEEDED') AS ok, count(*) FILTER (status = 'FAILED') AS failed, CASE WHEN count(*) FILTER (status = 'FAILED') = 0 THEN 'SUCCEEDED' ELSE 'COMPLETED_WITH_ERRORS' END AS outcome FROM an GROUP BY run_id")
+def run_outcome(spark: SparkSession, d: str) -> DataFrame:
+    g = _ledger(spark, d).groupBy("run_id").agg(F.count_if(F.col("status") == "SUCCEEDED").alias("ok"), F.count_if(F.col("status") == "FAILED").alias("failed"))
+    return g.withColumn("outcome", F.when(F.col("failed") == 0, "SUCCEEDED").otherwise("COMPLETED_WITH_ERRORS"))
+
+
+@R.query("WITH az AS (SELECT * FROM azure_gz WHERE contents IS NOT NULL QUALIFY row_number() OVER (PARTITION BY az_id ORDER BY doc_id) = 1), s AS (SELECT doc_id, CAST(sum(coalesce(list_sum(list_transform(contents, lambda c: coalesce(len(c.pages), 0))), 0)) AS BIGINT) AS got FROM az GROUP BY doc_id), m AS (SELECT doc_id, arg_max(page_count, created_at) AS want FROM azure_meta WHERE page_count IS NOT NULL GROUP BY doc_id) SELECT s.doc_id, got, want FROM s JOIN m ON s.doc_id = m.doc_id WHERE got <> want")
+def range_audit(spark: SparkSession, d: str) -> DataFrame:
+    """Filings whose parts together hold another number of pages than the import recorded."""
+    az = once(table(spark, d, "azure_gz").where("contents IS NOT NULL").select("az_id", "doc_id", "contents"), "az_id")
+    n = F.aggregate("contents", F.lit(0), lambda a, c: a + F.coalesce(F.size(F.when(c["pages"].isNotNull(), c["pages"])), F.lit(0)))
+    got = az.select("doc_id", n.alias("n")).groupBy("doc_id").agg(F.sum("n").alias("got"))
+    want = table(spark, d, "azure_meta").where("page_count IS NOT NULL").groupBy("doc_id").agg(F.max_by("page_count", "created_at").alias("want"))
+    return got.join(want, "doc_id").where("got <> want").select("doc_id", "got", "want")
 
 
 def queries() -> dict:
-    return {}
+    return R.queries()
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return R.oracle_sql()

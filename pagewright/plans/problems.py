@@ -92,5 +92,58 @@ def queries() -> dict:
     return {q.__name__: q for q in (p1_found, p1_conflicts, p1_words, p4_found, p4_history, p5_found, p5_report)}
 
 
+_CHILDREN = [("pages", "page"), ("paragraphs", "paragraph"), ("sections", "section"), ("tables", "table"), ("figures", "figure"), ("lines", "line"), ("words", "content_word")]
+_KEPT = "json_type(x) <> 'NULL'"
+
+
+def _each(source: str, key: str, prefix: str, field: str, node: str) -> str:
+    return f"SELECT {key}, '{node}' AS node, {prefix} || i::VARCHAR AS path, x FROM (SELECT {key}, {prefix.split(' ')[0]}, i, json_extract(x, '$.{field}[' || i || ']') AS x FROM (SELECT *, unnest(range(coalesce(json_array_length(x, '$.{field}'), 0)::BIGINT)) AS i FROM {source})) WHERE {_KEPT}"
+
+
+P1_SQL = f"""WITH az AS (SELECT * FROM azure_gz QUALIFY row_number() OVER (PARTITION BY az_id ORDER BY doc_id) = 1),
+raw AS (SELECT az_id, CASE WHEN contents IS NOT NULL THEN to_json(contents) WHEN json_type(contents_raw) = 'OBJECT' AND json_exists(contents_raw, '$.contents') THEN json_extract(contents_raw, '$.contents')
+  WHEN json_type(contents_raw) = 'OBJECT' AND json_exists(contents_raw, '$.result') THEN coalesce(json_extract(contents_raw, '$.result.contents'), json_extract(contents_raw, '$.result')) ELSE contents_raw::JSON END AS j FROM az),
+listed AS (SELECT az_id, CASE WHEN json_type(j) = 'OBJECT' THEN json_array(j) ELSE j END AS j FROM raw),
+content AS (SELECT az_id, i::VARCHAR AS path, x FROM (SELECT az_id, i, json_extract(j, '$[' || i || ']') AS x FROM (SELECT *, unnest(range(coalesce(json_array_length(j), 0)::BIGINT)) AS i FROM listed)) WHERE {_KEPT}),
+child AS ({" UNION ALL ".join(_each("content", "az_id", "path || '.'", f, n) for f, n in _CHILDREN)}),
+grandchild AS ({_each("(SELECT * FROM child WHERE node = 'page')", "az_id", "path || '.'", "words", "word")} UNION ALL {_each("(SELECT * FROM child WHERE node = 'table')", "az_id", "path || '.'", "cells", "cell")}),
+dm AS (SELECT * FROM docling_meta QUALIFY row_number() OVER (PARTITION BY meta_id ORDER BY doc_id) = 1),
+pg AS (SELECT meta_id, i - 1 AS i, pages[i] AS p FROM (SELECT *, unnest(range(1, len(pages) + 1)) AS i FROM dm) WHERE pages[i] IS NOT NULL),
+ag AS (SELECT meta_id, i, p.variant_agreement AS a FROM pg WHERE p.variant_agreement IS NOT NULL),
+cf AS (SELECT meta_id, i, k - 1 AS k, l[k] AS c FROM (SELECT *, unnest(range(1, len(l) + 1)) AS k FROM (SELECT meta_id, i, a.numeric_conflicts AS l FROM ag)) WHERE l[k] IS NOT NULL)
+SELECT 'azure_gz' AS src, az_id AS rec_id, node, path FROM (SELECT az_id, 'content' AS node, path FROM content UNION ALL SELECT az_id, node, path FROM child UNION ALL SELECT az_id, node, path FROM grandchild)
+UNION ALL SELECT 'docling_meta', meta_id, 'page', i::VARCHAR FROM pg UNION ALL SELECT 'docling_meta', meta_id, 'agreement', i::VARCHAR FROM ag
+UNION ALL SELECT 'docling_meta', meta_id, 'per_variant', i::VARCHAR || '.' || e.key FROM (SELECT meta_id, i, unnest(map_entries(a.per_variant)) AS e FROM ag) WHERE e.value IS NOT NULL
+UNION ALL SELECT 'docling_meta', meta_id, 'excluded', i::VARCHAR || '.' || e.key FROM (SELECT meta_id, i, unnest(map_entries(a.excluded)) AS e FROM ag) WHERE e.value IS NOT NULL
+UNION ALL SELECT 'docling_meta', meta_id, 'conflict', i::VARCHAR || '.' || k::VARCHAR FROM cf
+UNION ALL SELECT 'docling_meta', meta_id, 'other_count', i::VARCHAR || '.' || k::VARCHAR || '.' || e.key FROM (SELECT meta_id, i, k, unnest(map_entries(c.other_counts)) AS e FROM cf) WHERE e.value IS NOT NULL"""
+
+_SPACE = r"[\s\x{00a0}\x{0085}\x{1680}\x{2000}-\x{200d}\x{2028}\x{2029}\x{202f}\x{205f}\x{2060}\x{3000}\x{feff}]+"
+_NORM = {a: f"regexp_replace(lower(nfc_normalize({a})), '" + _SPACE + "', '', 'g')" for a in ATTRS}
+_VALUE = {a: f"CASE WHEN regexp_matches({n}, '[\\p{{L}}\\p{{N}}]') AND {n} NOT IN ('na', 'n/a', 'n.a', 'n.a.', 'nil', 'none', 'null', 's/o', 's.o.', 'nd', 'n/d') THEN {n} END" for a, n in _NORM.items()}
+P4_SQL = (
+    "WITH d AS (SELECT * FROM catalogue_row WHERE document_id IS NOT NULL AND crawl_no IS NOT NULL QUALIFY row_number() OVER (PARTITION BY document_id, crawl_no ORDER BY loaded_at DESC NULLS LAST, row_id DESC) = 1), "
+    "n AS (SELECT document_id, crawl_no, " + ", ".join(f"{v} AS {a}" for a, v in _VALUE.items()) + " FROM d), "
+    "k AS (SELECT document_id, crawl_no, " + ", ".join(f"last_value({a} IGNORE NULLS) OVER (PARTITION BY document_id ORDER BY crawl_no) AS {a}" for a in ATTRS) + " FROM n), "
+    "b AS (SELECT *, row_number() OVER w AS i, " + ", ".join(f"lag({a}) OVER w AS o_{a}" for a in ATTRS) + " FROM k WINDOW w AS (PARTITION BY document_id ORDER BY crawl_no)) "
+    "SELECT document_id, crawl_no AS from_crawl, coalesce(lead(crawl_no) OVER (PARTITION BY document_id ORDER BY crawl_no), 0) AS to_crawl FROM b WHERE i = 1 OR " + " OR ".join(f"{a} IS DISTINCT FROM o_{a}" for a in ATTRS)
+)
+_SIDE = "(SELECT {0}, * FROM {1} QUALIFY row_number() OVER (PARTITION BY {2} ORDER BY {3} DESC NULLS LAST) = 1)"
+_ID = "ltrim(regexp_extract({0}, '(\\d+)', 1), '0') AS k"
+P5_SQL = f"""WITH a AS {_SIDE.format(_ID.format("doc_id"), "azure_meta", "ltrim(regexp_extract(doc_id, '(\\d+)', 1), '0')", "created_at")},
+dm AS {_SIDE.format(_ID.format("doc_id"), "docling_meta", "ltrim(regexp_extract(doc_id, '(\\d+)', 1), '0')", "ingested_at")},
+an AS {_SIDE.format(_ID.format("document_id"), "(SELECT * FROM analyses WHERE status = 'SUCCEEDED')", "ltrim(regexp_extract(document_id, '(\\d+)', 1), '0')", "id")},
+d AS (SELECT k, page_count, CAST(len(list_distinct(list_filter(list_transform(pages, lambda p: p.page), lambda x: x IS NOT NULL))) AS INT) AS pages FROM dm),
+f AS (SELECT a.k AS doc_id, 'docling_meta' AS other, unnest([{{'f': 'page_count', 'x': a.page_count, 'y': d.page_count}}, {{'f': 'pages', 'x': a.counts.pages, 'y': coalesce(d.pages, 0)}}]) AS v FROM a JOIN d ON a.k = d.k
+  UNION ALL SELECT a.k, 'analyses', unnest([{{'f': 'page_count', 'x': a.page_count, 'y': an.page_count}}, {{'f': 'table_count', 'x': a.counts.tables, 'y': an.table_count}}, {{'f': 'section_count', 'x': a.counts.sections, 'y': an.section_count}}]) FROM a JOIN an ON a.k = an.k)
+SELECT doc_id, other, v.f AS field, 'differs' AS kind FROM f WHERE v.x IS DISTINCT FROM v.y
+UNION ALL SELECT k, 'docling_meta', 'row', 'missing_there' FROM a WHERE k NOT IN (SELECT k FROM d) UNION ALL SELECT k, 'docling_meta', 'row', 'missing_here' FROM d WHERE k NOT IN (SELECT k FROM a)
+UNION ALL SELECT k, 'analyses', 'row', 'missing_there' FROM a WHERE k NOT IN (SELECT k FROM an) UNION ALL SELECT k, 'analyses', 'row', 'missing_here' FROM an WHERE k NOT IN (SELECT k FROM a)"""
+P1_CONFLICTS_SQL = """WITH dm AS (SELECT * FROM docling_meta QUALIFY row_number() OVER (PARTITION BY meta_id ORDER BY doc_id) = 1),
+pg AS (SELECT meta_id, i - 1 AS i, pages[i].variant_agreement.numeric_conflicts AS l FROM (SELECT *, unnest(range(1, len(pages) + 1)) AS i FROM dm)),
+cf AS (SELECT meta_id, i, k - 1 AS k, l[k] AS c FROM (SELECT *, unnest(range(1, len(l) + 1)) AS k FROM pg) WHERE l[k] IS NOT NULL)
+SELECT meta_id AS rec_id, i::VARCHAR || '.' || k::VARCHAR AS path, 'agreement' AS parent_node, i::VARCHAR AS parent, c.token AS token, c.winner_count AS winner_count, c.kind AS kind, c.direction AS direction FROM cf"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"p1_found": P1_SQL, "p1_conflicts": P1_CONFLICTS_SQL, "p4_found": P4_SQL, "p5_found": P5_SQL}

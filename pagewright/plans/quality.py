@@ -1,9 +1,435 @@
-"""Placeholder."""
+"""Queries over readings, agreement, page quality, tables, pairing, triage and coverage."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from pagewright.functions import scalars as S
+from pagewright.operators import coverage, readings, tables
+from pagewright.plans.registry import Registry
+from pagewright.session import once, table
+from pagewright.sources import fixtures as fx
+from pagewright.sources.extractions import reference_records
+
+R = Registry()
+PAGE = ["doc_id", "page_no"]
+NUM = S.NUMBER
+Q_SQL = "WITH " + fx.READINGS_SQL + """, q AS (SELECT *, CAST(length(text) AS INT) AS chars, CAST(length(regexp_replace(text, '[^\\p{L}\\p{N}]', '', 'g')) AS INT) AS alnum FROM readings),
+scored AS (SELECT *, CASE WHEN chars > 0 THEN round(alnum / chars, 4) ELSE 0.0 END AS alnum_ratio FROM q)"""
+W_SQL = Q_SQL + """, tried AS (SELECT doc_id, page_no, list({'ord': ord, 'variant': variant, 'score': alnum} ORDER BY ord) AS l FROM scored GROUP BY ALL),
+folded AS (SELECT doc_id, page_no, list_reduce(l, lambda b, x: CASE WHEN x.score > b.score * 1.02 THEN x ELSE b END) AS w, CAST(len(l) AS INT) AS attempts, l[1].variant AS first_tried FROM tried),
+winners AS (SELECT doc_id, page_no, w.variant AS variant, w.score AS score, attempts, first_tried FROM folded),
+others AS (SELECT s.* FROM scored s JOIN winners w USING (doc_id, page_no) WHERE s.variant <> w.variant AND NOT (s.chars < 50 OR s.alnum_ratio < 0.35))"""
+A_SQL = W_SQL + """, wtok AS (SELECT doc_id, page_no, variant, token, count(*) AS n FROM (SELECT doc_id, page_no, variant, unnest(regexp_split_to_array(text, '[ \\t\\n\\x0b\\f\\r]+')) AS token FROM scored) WHERE token <> '' GROUP BY ALL),
+tot AS (SELECT s.doc_id, s.page_no, s.variant, CAST(coalesce(sum(n), 0) AS INT) AS total FROM scored s LEFT JOIN wtok USING (doc_id, page_no, variant) GROUP BY ALL),
+shared AS (SELECT t.doc_id, t.page_no, t.variant, sum(least(t.n, x.n)) AS shared FROM wtok t JOIN winners w USING (doc_id, page_no) JOIN wtok x ON x.doc_id = t.doc_id AND x.page_no = t.page_no AND x.variant = w.variant AND x.token = t.token GROUP BY ALL),
+agr AS (SELECT o.doc_id, o.page_no, o.variant, CAST(coalesce(s.shared, 0) AS BIGINT) AS shared, t.total AS total, wt.total AS winner_total, CASE WHEN greatest(t.total, wt.total) = 0 THEN 1.0 ELSE round(coalesce(s.shared, 0)::DOUBLE / greatest(t.total, wt.total), 4) END AS ratio
+  FROM others o JOIN tot t USING (doc_id, page_no, variant) JOIN winners w USING (doc_id, page_no) JOIN tot wt ON wt.doc_id = o.doc_id AND wt.page_no = o.page_no AND wt.variant = w.variant LEFT JOIN shared s ON s.doc_id = o.doc_id AND s.page_no = o.page_no AND s.variant = o.variant)"""
+N_SQL = A_SQL + f""", nums AS (SELECT doc_id, page_no, variant, token, count(*) AS n FROM (SELECT doc_id, page_no, variant, regexp_replace(unnest(regexp_extract_all(text, '{NUM}')), '\\s+', '', 'g') AS token FROM scored) GROUP BY ALL),
+win AS (SELECT n.doc_id, n.page_no, token, n FROM nums n JOIN winners w USING (doc_id, page_no, variant)),
+own AS (SELECT n.doc_id, n.page_no, n.variant, token, n FROM nums n JOIN others o USING (doc_id, page_no, variant)),
+univ AS (SELECT o.doc_id, o.page_no, o.variant, token FROM others o JOIN win USING (doc_id, page_no) UNION SELECT doc_id, page_no, variant, token FROM own),
+conf AS (SELECT u.doc_id, u.page_no, u.variant, u.token, coalesce(w.n, 0) AS winner_count, coalesce(o.n, 0) AS other_count FROM univ u LEFT JOIN win w USING (doc_id, page_no, token) LEFT JOIN own o USING (doc_id, page_no, variant, token) WHERE coalesce(w.n, 0) <> coalesce(o.n, 0)),
+dirs AS (SELECT doc_id, page_no, token, winner_count, min(other_count) AS least_other, count(*) AS variants, CASE WHEN max((winner_count = 0 OR other_count = 0)::INT) = 1 THEN 'token_difference' ELSE 'count_difference' END AS kind,
+  CASE WHEN max((winner_count = 0 OR other_count = 0)::INT) = 1 THEN CASE WHEN winner_count = 0 THEN 'winner_missing' WHEN max(other_count) = 0 THEN 'others_missing' ELSE 'bidirectional' END END AS direction FROM conf GROUP BY doc_id, page_no, token, winner_count)"""
+
+
+def _scored(spark: SparkSession, d: str) -> DataFrame:
+    return readings.page_quality(fx.readings(spark, d))
+
+
+def _both(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    s = _scored(spark, d)
+    return s, readings.select_reading(s)
+
+
+@R.query(Q_SQL + " SELECT doc_id, page_no, variant, chars, alnum, alnum_ratio FROM scored")
+def page_quality(spark: SparkSession, d: str) -> DataFrame:
+    return _scored(spark, d).select(*PAGE, "variant", "chars", "alnum", "alnum_ratio")
+
+
+@R.query(Q_SQL + " SELECT doc_id, page_no, variant, chars FROM scored WHERE chars < 50 OR alnum_ratio < 0.35")
+def broken_readings(spark: SparkSession, d: str) -> DataFrame:
+    return _scored(spark, d).where(readings.looks_broken(F.col("chars"), F.col("alnum_ratio"))).select(*PAGE, "variant", "chars")
+
+
+@R.query(W_SQL + " SELECT * FROM winners")
+def select_reading(spark: SparkSession, d: str) -> DataFrame:
+    return _both(spark, d)[1]
+
+
+@R.query(W_SQL + " SELECT s.doc_id, s.page_no, s.variant, CASE WHEN chars < 50 THEN 'almost_no_text' ELSE 'not_character_like' END AS reason FROM scored s JOIN winners w USING (doc_id, page_no) WHERE s.variant <> w.variant AND (chars < 50 OR alnum_ratio < 0.35)")
+def excluded_readings(spark: SparkSession, d: str) -> DataFrame:
+    return readings.excluded(*_both(spark, d))
+
+
+@R.query(W_SQL + " SELECT doc_id, page_no, first_tried, variant FROM winners WHERE attempts >= 2 AND variant <> first_tried")
+def restaged_pages(spark: SparkSession, d: str) -> DataFrame:
+    return _both(spark, d)[1].where("attempts >= 2 AND variant <> first_tried").select(*PAGE, "first_tried", "variant")
+
+
+@R.query(N_SQL + " SELECT * FROM nums")
+def numeric_tokens(spark: SparkSession, d: str) -> DataFrame:
+    return readings.numeric_tokens(fx.readings(spark, d))
+
+
+@R.query(A_SQL + " SELECT * FROM agr")
+def text_agreement(spark: SparkSession, d: str) -> DataFrame:
+    return readings.text_agreement(*_both(spark, d))
+
+
+@R.query(N_SQL + " SELECT * FROM conf")
+def numeric_conflicts(spark: SparkSession, d: str) -> DataFrame:
+    return readings.numeric_conflicts(*_both(spark, d))
+
+
+def _directed(spark: SparkSession, d: str) -> DataFrame:
+    return readings.conflict_directions(readings.numeric_conflicts(*_both(spark, d)))
+
+
+@R.query(N_SQL + " SELECT * FROM dirs")
+def conflict_directions(spark: SparkSession, d: str) -> DataFrame:
+    return _directed(spark, d)
+
+
+@R.query(N_SQL + """ SELECT doc_id, page_no, token, winner_count, least_other, variants, kind, direction, rank, greatest(n - 40, 0) AS truncated FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, page_no) AS n,
+  row_number() OVER (PARTITION BY doc_id, page_no ORDER BY (kind <> 'token_difference')::INT, -abs(winner_count - least_other), token) AS rank FROM dirs) WHERE rank <= 40""")
+def conflict_top40(spark: SparkSession, d: str) -> DataFrame:
+    return readings.conflict_top(_directed(spark, d))
+
+
+@R.query(N_SQL + """ SELECT a.doc_id, a.page_no, min(ratio) AS text_min, CASE WHEN bool_or(h.doc_id IS NOT NULL) THEN 'numbers_differ' WHEN min(ratio) < 0.98 THEN 'text_differs_numbers_agree' ELSE 'agree' END AS verdict
+  FROM agr a LEFT JOIN (SELECT DISTINCT doc_id, page_no FROM dirs WHERE kind = 'token_difference') h ON h.doc_id = a.doc_id AND h.page_no = a.page_no GROUP BY a.doc_id, a.page_no""")
+def verdicts(spark: SparkSession, d: str) -> DataFrame:
+    s, w = _both(spark, d)
+    return readings.verdicts(readings.text_agreement(s, w), readings.conflict_directions(readings.numeric_conflicts(s, w)))
+
+
+@R.query("WITH " + fx.LINES_SQL + r" SELECT doc_id, page_no FROM (SELECT doc_id, page_no, length(line) AS n, length(line) - length(regexp_replace(line, '[\x00-\x08\x0b\x0c\x0e-\x1f]', '', 'g')) AS k FROM lines) WHERE n < 100 OR k / n > 0.2")
+def unmapped_pages(spark: SparkSession, d: str) -> DataFrame:
+    n, kept = F.length("line"), F.length(F.regexp_replace("line", r"[\x00-\x08\x0b\x0c\x0e-\x1f]", ""))
+    return fx.lines(spark, d).where((n < 100) | ((n - kept) / n > 0.2)).select(*PAGE)
+
+
+@R.query("SELECT doc_id, regexp_replace(lower(text), '[^0-9a-z]', '', 'g') AS norm FROM documents WHERE text IS NOT NULL")
+def coverage_norm(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "documents").where("text IS NOT NULL").select("doc_id", S.coverage_norm(F.col("text")).alias("norm"))
+
+
+# ------------------------------------------------------------------ pages of finished runs
+
+P_SQL = "WITH " + fx.META_SQL
+
+
+@R.query(P_SQL + """, s AS (SELECT meta_id, pos, list_sort(map_values(p.variant_scores), 'DESC') AS v FROM pages)
+SELECT meta_id, pos, CASE WHEN v[1] > 0 THEN (v[1] - v[len(v)]) / v[1] ELSE 0.0 END AS spread, CASE WHEN v[1] > 0 THEN (v[1] - v[2]) / v[1] END AS margin FROM s""")
+def page_spread(spark: SparkSession, d: str) -> DataFrame:
+    return readings.spread(fx.meta_pages(spark, d).select("meta_id", "pos", F.col("p.variant_scores").alias("scores")), ["meta_id", "pos"])
+
+
+@R.query(P_SQL + ", ps AS (SELECT meta_id, pos, p.chars AS chars, p.extracted_shape AS shape FROM pages) SELECT a.meta_id, a.pos, a.chars, a.shape, b.peer FROM ps a JOIN (SELECT meta_id, shape, quantile_cont(nullif(chars, 0), 0.5) AS peer FROM ps GROUP BY ALL) b ON a.meta_id = b.meta_id AND a.shape IS NOT DISTINCT FROM b.shape WHERE peer > 0 AND a.chars < 0.3 * peer")
+def thin_pages(spark: SparkSession, d: str) -> DataFrame:
+    return readings.thin_pages(fx.meta_pages(spark, d).select("meta_id", "pos", F.col("p.chars").alias("chars"), F.col("p.extracted_shape").alias("shape")))
+
+
+D_SQL = P_SQL + """, doubts AS (
+  SELECT meta_id, pos, 1 AS ord, 'almost_no_text' AS code FROM pages WHERE coalesce(p.chars, 0) < 50
+  UNION ALL SELECT meta_id, pos, 2, 'not_character_like' FROM pages WHERE coalesce(nullif(p.alnum_ratio, 0), 1.0) < 0.35
+  UNION ALL SELECT meta_id, pos, 3, 'variants_disagree_on_numbers' FROM pages WHERE p.variant_agreement.numeric_token_differences > 0
+  UNION ALL SELECT meta_id, pos, 4, x.code FROM (SELECT meta_id, pos, unnest(p.doubts) AS x FROM pages) WHERE x.code IS NOT NULL),
+d1 AS (SELECT meta_id, pos, code, min(ord) AS ord FROM doubts GROUP BY ALL)"""
+
+
+def _doubts(spark: SparkSession, d: str) -> DataFrame:
+    p = fx.meta_pages(spark, d)
+    none = F.lit(None).cast("struct<ord:int,code:string>")
+    mark = lambda i, code, cond: F.when(cond, F.struct(F.lit(i).alias("ord"), F.lit(code).alias("code"))).otherwise(none)
+    own = F.array(
+        mark(1, "almost_no_text", F.coalesce("p.chars", F.lit(0)) < 50), mark(2, "not_character_like", F.coalesce(F.nullif(F.col("p.alnum_ratio"), F.lit(0.0)), F.lit(1.0)) < 0.35),
+        mark(3, "variants_disagree_on_numbers", F.col("p.variant_agreement.numeric_token_differences") > 0),
+    )
+    noted = F.transform(F.coalesce("p.doubts", F.expr("cast(array() as array<struct<code:string,observed:map<string,string>>>)")), lambda x: F.when(x["code"].isNotNull(), F.struct(F.lit(4).alias("ord"), x["code"].alias("code"))))
+    every = p.select("meta_id", "pos", F.explode(F.array_compact(F.concat(own, noted))).alias("x"))
+    return every.groupBy("meta_id", "pos", F.col("x.code").alias("code")).agg(F.min("x.ord").alias("ord"))
+
+
+@R.query(D_SQL + " SELECT * FROM d1")
+def page_doubts(spark: SparkSession, d: str) -> DataFrame:
+    return _doubts(spark, d)
+
+
+@R.query(D_SQL + " SELECT meta_id, code, list_sort(list(pos)) AS positions FROM d1 GROUP BY ALL")
+def doubt_index(spark: SparkSession, d: str) -> DataFrame:
+    return _doubts(spark, d).groupBy("meta_id", "code").agg(F.array_sort(F.collect_list("pos")).alias("positions"))
+
+
+@R.query(D_SQL + " SELECT DISTINCT meta_id, pos FROM d1 WHERE code IN ('almost_no_text', 'not_character_like', 'variants_disagree_on_numbers')")
+def reprocess_pages(spark: SparkSession, d: str) -> DataFrame:
+    return _doubts(spark, d).where(F.col("code").isin("almost_no_text", "not_character_like", "variants_disagree_on_numbers")).select("meta_id", "pos").distinct()
+
+
+@R.query(P_SQL + " SELECT meta_id, p.staging AS variant, count(*) AS wins FROM pages GROUP BY ALL")
+def variant_wins(spark: SparkSession, d: str) -> DataFrame:
+    return fx.meta_pages(spark, d).groupBy("meta_id", F.col("p.staging").alias("variant")).agg(F.count(F.lit(1)).alias("wins"))
+
+
+@R.query(P_SQL + """ SELECT meta_id, count(*) AS pages, CAST(sum(p.chars) AS BIGINT) AS chars, min(nullif(p.seconds, 0)) AS min_seconds, quantile_cont(nullif(p.seconds, 0), 0.5) AS median_seconds, max(nullif(p.seconds, 0)) AS max_seconds,
+  count(*) FILTER (p.agreement = 'agree') AS agree, count(*) FILTER (p.agreement = 'numbers_differ') AS numbers_differ FROM pages GROUP BY ALL""")
+def doc_quality(spark: SparkSession, d: str) -> DataFrame:
+    sec = F.nullif(F.col("p.seconds"), F.lit(0.0))
+    return fx.meta_pages(spark, d).groupBy("meta_id").agg(
+        F.count(F.lit(1)).alias("pages"), F.sum("p.chars").alias("chars"), F.min(sec).alias("min_seconds"), F.percentile(sec, F.lit(0.5)).alias("median_seconds"), F.max(sec).alias("max_seconds"),
+        F.count_if(F.col("p.agreement") == "agree").alias("agree"), F.count_if(F.col("p.agreement") == "numbers_differ").alias("numbers_differ"))
+
+
+@R.query(P_SQL + " SELECT meta_id, avg(p.text_agreement) AS text_mean, avg(p.numeric_agreement) AS numeric_mean FROM pages GROUP BY ALL")
+def confidence_mean(spark: SparkSession, d: str) -> DataFrame:
+    return fx.meta_pages(spark, d).groupBy("meta_id").agg(F.avg("p.text_agreement").alias("text_mean"), F.avg("p.numeric_agreement").alias("numeric_mean"))
+
+
+@R.query(P_SQL + ", e AS (SELECT meta_id, pos, unnest(map_entries(p.variant_agreement.per_variant)) AS x FROM pages) SELECT meta_id, pos, x.key AS variant, x.value.numeric AS numeric FROM e WHERE x.value.numeric < 0.6")
+def low_confidence(spark: SparkSession, d: str) -> DataFrame:
+    return fx.meta_pages(spark, d).select("meta_id", "pos", F.explode(F.map_filter("p.variant_agreement.per_variant", lambda k, v: v["numeric"] < 0.6)).alias("variant", "x")).select("meta_id", "pos", "variant", F.col("x.numeric").alias("numeric"))
+
+
+@R.query(P_SQL + ", s AS (SELECT meta_id, list_sort(list(p.seconds)) AS v FROM pages WHERE p.seconds IS NOT NULL GROUP BY ALL) SELECT meta_id, v[len(v) // 2 + 1] AS seconds FROM s")
+def upper_median(spark: SparkSession, d: str) -> DataFrame:
+    v = F.array_sort(F.collect_list("p.seconds"))
+    return fx.meta_pages(spark, d).where("p.seconds IS NOT NULL").groupBy("meta_id").agg(v.alias("v")).select("meta_id", F.element_at("v", (F.floor(F.size("v") / 2) + 1).cast("int")).alias("seconds"))
+
+
+@R.query(P_SQL + " SELECT coalesce(p.variant_agreement.verdict, 'none') AS verdict, count(*) AS pages, count(DISTINCT doc_id) AS filings, CAST(sum(coalesce(p.variant_agreement.numeric_token_differences, 0)) AS BIGINT) AS differences FROM pages GROUP BY ALL")
+def agreement_report(spark: SparkSession, d: str) -> DataFrame:
+    return fx.meta_pages(spark, d).groupBy(F.coalesce("p.variant_agreement.verdict", F.lit("none")).alias("verdict")).agg(F.count(F.lit(1)).alias("pages"), F.countDistinct("doc_id").alias("filings"), F.sum(F.coalesce("p.variant_agreement.numeric_token_differences", F.lit(0))).alias("differences"))
+
+
+C_SQL = P_SQL + """, c0 AS (SELECT meta_id, pos, list_filter(p.variant_agreement.numeric_conflicts, lambda x: x IS NOT NULL) AS l FROM pages),
+c1 AS (SELECT meta_id, pos, unnest(l) AS x FROM c0), nc AS (SELECT meta_id, pos, x.token AS token, x.direction AS direction, x.kind AS kind, x.other_counts AS other_counts FROM c1)"""
+
+
+def _recorded(spark: SparkSession, d: str) -> DataFrame:
+    return fx.meta_pages(spark, d).select("meta_id", "pos", F.explode("p.variant_agreement.numeric_conflicts").alias("x")).where(F.col("x").isNotNull()).select("meta_id", "pos", "x.token", "x.direction", "x.kind", "x.other_counts")
+
+
+@R.query(C_SQL + ", e AS (SELECT meta_id, pos, unnest(map_keys(other_counts)) AS variant FROM nc) SELECT variant, count(*) AS conflicts, count(DISTINCT (meta_id, pos)) AS pages FROM e GROUP BY ALL")
+def dissent(spark: SparkSession, d: str) -> DataFrame:
+    return _recorded(spark, d).select("meta_id", "pos", F.explode(F.map_keys("other_counts")).alias("variant")).groupBy("variant").agg(F.count(F.lit(1)).alias("conflicts"), F.countDistinct("meta_id", "pos").alias("pages"))
+
+
+_OP = """CASE WHEN ac <> bc AND asg = bsg AND ar = br THEN 'comparator_change' WHEN ac = bc AND asg <> bsg AND ar = br THEN 'sign_change'
+  WHEN ac = bc AND asg = bsg AND regexp_extract(ar, '^([^eE]*)', 1) = regexp_extract(br, '^([^eE]*)', 1) AND ar <> br THEN 'exponent_change'
+  WHEN ac = bc AND asg = bsg AND least(av, bv) > 0 AND (abs(greatest(av, bv) / nullif(least(av, bv), 0) - 10) <= 0.01 OR abs(greatest(av, bv) / nullif(least(av, bv), 0) - 100) <= 0.1 OR abs(greatest(av, bv) / nullif(least(av, bv), 0) - 1000) <= 1.0) THEN 'magnitude_shift'
+  WHEN ac = bc AND asg = bsg AND regexp_replace(ar, '[.,]', '', 'g') = regexp_replace(br, '[.,]', '', 'g') AND ar <> br THEN 'decimal_shift'
+  WHEN ac = bc AND asg = bsg AND length(ar) = length(br) AND len(list_filter(range(1, length(ar) + 1), lambda i: substr(ar, i, 1) <> substr(br, i, 1))) = 1 THEN 'digit_substitution'
+  WHEN ac = bc AND asg = bsg AND abs(length(ar) - length(br)) = 1 AND len(list_filter(range(1, greatest(length(ar), length(br)) + 1), lambda i: CASE WHEN length(ar) > length(br) THEN substr(ar, 1, i - 1) || substr(ar, i + 1) = br ELSE substr(br, 1, i - 1) || substr(br, i + 1) = ar END)) > 0 THEN 'digit_insertion' END"""
+PAIR_SQL = C_SQL + f""", {fx.ITEM_CONFLICTS_SQL}, rare AS (SELECT * FROM (SELECT * FROM nc UNION ALL SELECT * FROM item_nc) WHERE NOT regexp_matches(token, '{S.COMMON}')),
+holds AS (SELECT meta_id, pos, token AS other, x.key AS variant FROM (SELECT meta_id, pos, token, unnest(map_entries(other_counts)) AS x FROM rare WHERE direction = 'winner_missing') WHERE x.value > 0),
+lacks AS (SELECT meta_id, pos, token AS kept, x.key AS variant FROM (SELECT meta_id, pos, token, unnest(map_entries(other_counts)) AS x FROM rare WHERE direction = 'others_missing') WHERE x.value = 0),
+j AS (SELECT meta_id, pos, kept, other, count(*) AS variants FROM holds JOIN lacks USING (meta_id, pos, variant) GROUP BY ALL),
+parts AS (SELECT *, regexp_extract(kept, '^([<>]?)\\s*([+-]?)(.*)$', 1) AS ac, regexp_extract(kept, '^([<>]?)\\s*([+-]?)(.*)$', 2) AS asg, regexp_extract(kept, '^([<>]?)\\s*([+-]?)(.*)$', 3) AS ar,
+  regexp_extract(other, '^([<>]?)\\s*([+-]?)(.*)$', 1) AS bc, regexp_extract(other, '^([<>]?)\\s*([+-]?)(.*)$', 2) AS bsg, regexp_extract(other, '^([<>]?)\\s*([+-]?)(.*)$', 3) AS br FROM j),
+vals AS (SELECT *, abs(try_cast(replace(ar, ',', '') AS DOUBLE)) AS av, abs(try_cast(replace(br, ',', '') AS DOUBLE)) AS bv FROM parts),
+pairs AS (SELECT * FROM (SELECT meta_id, pos, kept, other, {_OP} AS operation, variants FROM vals) WHERE operation IS NOT NULL)"""
+
+
+def _pairs(spark: SparkSession, d: str) -> DataFrame:
+    return readings.pairing(_recorded(spark, d).unionByName(fx.item_conflicts(spark, d)), ["meta_id", "pos"])
+
+
+@R.query(PAIR_SQL + " SELECT * FROM pairs")
+def pairing(spark: SparkSession, d: str) -> DataFrame:
+    return _pairs(spark, d)
+
+
+@R.query(PAIR_SQL + " SELECT operation, count(*) AS pairs, count(DISTINCT (meta_id, pos)) AS pages FROM pairs GROUP BY ALL")
+def pairing_ops(spark: SparkSession, d: str) -> DataFrame:
+    return _pairs(spark, d).groupBy("operation").agg(F.count(F.lit(1)).alias("pairs"), F.countDistinct("meta_id", "pos").alias("pages"))
+
+
+@R.query(PAIR_SQL + """ SELECT meta_id, pos, kept, other, CASE WHEN regexp_replace(kept, '[.,]', '#', 'g') = regexp_replace(other, '[.,]', '#', 'g') THEN 'separator_substitution'
+  WHEN regexp_replace(kept, '[.,]', '', 'g') = regexp_replace(other, '[.,]', '', 'g') THEN 'separator_moved' WHEN abs(length(regexp_replace(kept, '[.,]', '', 'g')) - length(regexp_replace(other, '[.,]', '', 'g'))) = 1 THEN 'digit_added_or_lost' ELSE 'value_differs' END AS cause FROM pairs WHERE operation = 'magnitude_shift'""")
+def magnitude_causes(spark: SparkSession, d: str) -> DataFrame:
+    drop = lambda c, by: F.regexp_replace(c, "[.,]", by)
+    cause = (
+        F.when(drop("kept", "#") == drop("other", "#"), "separator_substitution").when(drop("kept", "") == drop("other", ""), "separator_moved")
+        .when(F.abs(F.length(drop("kept", "")) - F.length(drop("other", ""))) == 1, "digit_added_or_lost").otherwise("value_differs"))
+    return _pairs(spark, d).where("operation = 'magnitude_shift'").select("meta_id", "pos", "kept", "other", cause.alias("cause"))
+
+
+STRUCTURAL = ("table_mostly_dropped", "table_grid_disputed", "bbox_clamped")
+COMPLETE = ("almost_no_text", "not_character_like", "thin_for_this_document", "ocr_empty", "timeout", "needed_retry")
+_in = lambda codes: ", ".join(f"'{c}'" for c in codes)
+T_SQL = PAIR_SQL.replace("WITH ", D_SQL + ", x1 AS (SELECT 1), ", 1).replace(fx.META_SQL + ", c0", "c0", 1) + f""", flags AS (SELECT meta_id, pos, bool_or(k = 0) AS num, bool_or(k = 1 AND code IN ({_in(STRUCTURAL)})) AS str, bool_or(k = 1 AND code IN ({_in(COMPLETE)})) AS com
+  FROM (SELECT meta_id, pos, 0 AS k, '' AS code FROM pairs UNION ALL SELECT meta_id, pos, 1, code FROM d1) GROUP BY ALL),
+tiers AS (SELECT meta_id, pos, unnest(CASE WHEN NOT (num OR str OR com) THEN ['diagnostic'] ELSE list_filter([CASE WHEN num THEN 'review_numeric' END, CASE WHEN str THEN 'review_structural' END, CASE WHEN com THEN 'review_completeness' END], lambda x: x IS NOT NULL) END) AS tier FROM flags)"""
+
+
+def _triage(spark: SparkSession, d: str) -> DataFrame:
+    """Review tiers of a page: by a pair, by structure, by completeness; diagnostic if none of these."""
+    pairs = _pairs(spark, d).select("meta_id", "pos", F.lit(True).alias("num"), F.lit(False).alias("str"), F.lit(False).alias("com"))
+    doubts = _doubts(spark, d).select("meta_id", "pos", F.lit(False).alias("num"), F.col("code").isin(*STRUCTURAL).alias("str"), F.col("code").isin(*COMPLETE).alias("com"))
+    f = pairs.unionByName(doubts).groupBy("meta_id", "pos").agg(*[F.max(c).alias(c) for c in ("num", "str", "com")])
+    tiers = F.array_compact(F.array(F.when(F.col("num"), F.lit("review_numeric")), F.when(F.col("str"), F.lit("review_structural")), F.when(F.col("com"), F.lit("review_completeness"))))
+    return f.select("meta_id", "pos", F.explode(F.when(F.size(tiers) == 0, F.array(F.lit("diagnostic"))).otherwise(tiers)).alias("tier"))
+
+
+@R.query(T_SQL + " SELECT * FROM tiers")
+def triage(spark: SparkSession, d: str) -> DataFrame:
+    return _triage(spark, d)
+
+
+@R.query(T_SQL + " SELECT tier, count(*) AS pages FROM tiers GROUP BY ALL")
+def triage_counts(spark: SparkSession, d: str) -> DataFrame:
+    return _triage(spark, d).groupBy("tier").agg(F.count(F.lit(1)).alias("pages"))
+
+
+# ------------------------------------------------------------------ tables, shapes, warnings
+
+X_SQL = "WITH " + fx.CELLS_SQL
+I_SQL = "WITH " + fx.ITEM_CELLS_SQL
+
+
+@R.query(I_SQL + """, v AS (SELECT DISTINCT gz_id, t, c, trim(text) AS value FROM cells WHERE NOT header AND length(trim(text)) >= 3)
+SELECT DISTINCT a.gz_id, a.t, a.c, a.value AS suspect, b.value AS sibling FROM v a JOIN v b ON a.gz_id = b.gz_id AND a.t = b.t AND a.c IS NOT DISTINCT FROM b.c AND length(a.value) = length(b.value) AND a.value <> b.value
+WHERE a.c IS NOT NULL AND len(list_filter(range(1, length(a.value) + 1), lambda i: substr(a.value, i, 1) <> substr(b.value, i, 1))) = 1 AND len(list_filter(range(1, length(a.value) + 1), lambda i: regexp_matches(substr(a.value, i, 1), '^\\p{Nd}$') AND regexp_matches(substr(b.value, i, 1), '^\\p{L}$'))) = 1""")
+def suspect_confusions(spark: SparkSession, d: str) -> DataFrame:
+    return tables.suspect_confusions(fx.item_cells(spark, d))
+
+
+@R.query(I_SQL + f", b AS (SELECT *, regexp_matches(trim(text), '{S.NUMERIC_CELL}') AS ok FROM cells WHERE NOT header AND trim(text) <> '') SELECT gz_id, t, c, count(*) AS n, max(trim(text)) FILTER (NOT ok) AS value FROM b GROUP BY gz_id, t, c HAVING count(*) >= 10 AND count(*) FILTER (NOT ok) = 1")
+def numeric_column_outliers(spark: SparkSession, d: str) -> DataFrame:
+    return tables.numeric_column_outliers(fx.item_cells(spark, d))
+
+
+@R.query(X_SQL + " SELECT CAST(round(bbox.r - bbox.l) AS INT) AS w, CAST(round(bbox.b - bbox.t) AS INT) AS h, count(*) AS n FROM cells WHERE bbox IS NOT NULL GROUP BY ALL")
+def geometry_hist(spark: SparkSession, d: str) -> DataFrame:
+    return fx.cells(spark, d).where("bbox IS NOT NULL").groupBy(F.round(F.col("bbox.r") - F.col("bbox.l")).cast("int").alias("w"), F.round(F.col("bbox.b") - F.col("bbox.t")).cast("int").alias("h")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@R.query("WITH " + fx.CELLS_SQL.split("tabs AS")[0].rstrip().rstrip(",") + """, has AS (SELECT DISTINCT gz_id, page, kind FROM (SELECT gz_id, unnest(tables).prov[1].page_no AS page, 'table' AS kind FROM gz UNION ALL SELECT gz_id, unnest(pictures).prov[1].page_no, 'picture' FROM gz UNION ALL SELECT gz_id, unnest(texts).prov[1].page_no, 'text' FROM gz) WHERE page IS NOT NULL)
+SELECT gz_id, page, CASE WHEN bool_or(kind = 'table') AND bool_or(kind = 'picture') THEN 'table+picture' WHEN bool_or(kind = 'table') THEN 'table' WHEN bool_or(kind = 'picture') THEN 'picture' ELSE 'text' END AS shape FROM has GROUP BY ALL""")
+def page_shapes(spark: SparkSession, d: str) -> DataFrame:
+    gz = once(table(spark, d, "docling_gz").select("gz_id", "tables", "pictures", "texts"), "gz_id")
+    first = lambda c, kind: F.transform(F.coalesce(c, F.expr(f"cast(array() as {gz.schema[c].dataType.simpleString()})")), lambda x: F.struct(F.try_element_at(x["prov"], F.lit(1))["page_no"].alias("page"), F.lit(kind).alias("kind")))
+    h = gz.select("gz_id", F.explode(F.array_distinct(F.concat(first("tables", "table"), first("pictures", "picture"), first("texts", "text")))).alias("x")).where("x.page IS NOT NULL")
+    g = h.groupBy("gz_id", F.col("x.page").alias("page")).agg(F.max(F.col("x.kind") == "table").alias("t"), F.max(F.col("x.kind") == "picture").alias("p"))
+    return g.select("gz_id", "page", F.when(F.col("t") & F.col("p"), "table+picture").when(F.col("t"), "table").when(F.col("p"), "picture").otherwise("text").alias("shape"))
+
+
+V_SQL = "WITH " + fx.WARNINGS_SQL + """, k AS (SELECT *, CASE WHEN message LIKE '%pdf cells%' THEN 'table_cells_dropped' WHEN message LIKE '%clamped%' THEN 'bbox_clamped' WHEN message LIKE '%empty result%' THEN 'ocr_empty' WHEN message LIKE '%timeout%' THEN 'timeout' ELSE 'other' END AS kind,
+  try_cast(regexp_extract(message, '(\\d+) of (\\d+) pdf cells .*? of the (\\d+x\\d+) grid', 1) AS INT) AS dropped, try_cast(regexp_extract(message, '(\\d+) of (\\d+) pdf cells .*? of the (\\d+x\\d+) grid', 2) AS INT) AS total FROM warns WHERE logger <> 'fontTools.subset'),
+l AS (SELECT *, CASE WHEN total > 0 THEN round(dropped / total, 4) END AS ratio FROM k)"""
+
+
+def _warned(spark: SparkSession, d: str) -> DataFrame:
+    m, rx = F.col("message"), r"(\d+) of (\d+) pdf cells .*? of the (\d+x\d+) grid"
+    kind = F.when(m.contains("pdf cells"), "table_cells_dropped").when(m.contains("clamped"), "bbox_clamped").when(m.contains("empty result"), "ocr_empty").when(m.contains("timeout"), "timeout").otherwise("other")
+    w = fx.warnings(spark, d).where(F.col("logger") != "fontTools.subset").withColumn("kind", kind).withColumn("dropped", F.regexp_extract(m, rx, 1).try_cast("int")).withColumn("total", F.regexp_extract(m, rx, 2).try_cast("int"))
+    return w.withColumn("ratio", F.when(F.col("total") > 0, F.round(F.col("dropped") / F.col("total"), 4)))
+
+
+@R.query(V_SQL + " SELECT event_id, kind FROM l")
+def warning_kinds(spark: SparkSession, d: str) -> DataFrame:
+    return _warned(spark, d).select("event_id", "kind")
+
+
+@R.query(V_SQL + " SELECT doc_id, kind, count(*) AS n FROM l GROUP BY ALL")
+def warning_counts(spark: SparkSession, d: str) -> DataFrame:
+    return _warned(spark, d).groupBy("doc_id", "kind").agg(F.count(F.lit(1)).alias("n"))
+
+
+@R.query(V_SQL + " SELECT event_id, dropped, total, ratio FROM l WHERE dropped IS NOT NULL")
+def drop_ratio(spark: SparkSession, d: str) -> DataFrame:
+    return _warned(spark, d).where("dropped IS NOT NULL").select("event_id", "dropped", "total", "ratio")
+
+
+@R.query(V_SQL + " SELECT doc_id, CAST(sum(dropped) AS BIGINT) AS dropped_total, count(*) AS losses, count(*) FILTER (ratio > 0.5) AS severe, max(ratio) AS worst FROM l WHERE ratio IS NOT NULL GROUP BY ALL")
+def table_losses(spark: SparkSession, d: str) -> DataFrame:
+    return _warned(spark, d).where("ratio IS NOT NULL").groupBy("doc_id").agg(F.sum("dropped").alias("dropped_total"), F.count(F.lit(1)).alias("losses"), F.count_if(F.col("ratio") > 0.5).alias("severe"), F.max("ratio").alias("worst"))
+
+
+@R.query(V_SQL + " SELECT doc_id, page_no, event_id, over FROM (SELECT doc_id, page_no, event_id, row_number() OVER (PARTITION BY doc_id, page_no ORDER BY event_id) AS n, greatest(count(*) OVER (PARTITION BY doc_id, page_no) - 500, 0) AS over FROM l) WHERE n <= 500")
+def warning_cap(spark: SparkSession, d: str) -> DataFrame:
+    w = Window.partitionBy("doc_id", "page_no")
+    return _warned(spark, d).select("doc_id", "page_no", "event_id", F.row_number().over(w.orderBy("event_id")).alias("n"), F.greatest(F.count(F.lit(1)).over(w) - 500, F.lit(0)).alias("over")).where("n <= 500").drop("n")
+
+
+M_SQL = "WITH modes AS (SELECT o_orderkey, o_orderkey % 7 AS dropped, o_custkey % 7 AS alt_dropped, o_orderkey % 11 AS text, o_custkey % 11 AS alt_text, o_orderkey % 3 AS shape, o_custkey % 3 AS alt_shape FROM orders)"
+
+
+def _modes(spark: SparkSession, d: str) -> DataFrame:
+    o, k, c = table(spark, d, "orders"), F.col("o_orderkey"), F.col("o_custkey")
+    m = o.select(k, (k % 7).alias("dropped"), (c % 7).alias("alt_dropped"), (k % 11).alias("text"), (c % 11).alias("alt_text"), (k % 3).alias("shape"), (c % 3).alias("alt_shape"))
+    return tables.mode_choice(m, ["o_orderkey"])
+
+
+@R.query(M_SQL + " SELECT o_orderkey, CASE WHEN alt_dropped < dropped OR (alt_dropped = dropped AND alt_text > text) THEN 'alternate' ELSE 'first' END AS kept, shape = alt_shape AS shapes_agree FROM modes WHERE dropped > 0")
+def table_mode_choice(spark: SparkSession, d: str) -> DataFrame:
+    return _modes(spark, d)
+
+
+@R.query(M_SQL + " SELECT o_orderkey FROM modes WHERE dropped > 0 AND shape <> alt_shape")
+def grid_disputes(spark: SparkSession, d: str) -> DataFrame:
+    return _modes(spark, d).where("NOT shapes_agree").select("o_orderkey")
+
+
+# ------------------------------------------------------------------ coverage and reference parts
+
+_hist = lambda p: ", ".join(f"sum(length(norm) - length(replace(norm, '{ch}', ''))) AS {p}_{ch}" for ch in coverage.LETTERS)
+COV_SQL = """WITH az AS (SELECT * FROM azure_gz WHERE contents IS NOT NULL QUALIFY row_number() OVER (PARTITION BY az_id ORDER BY doc_id) = 1),
+gz AS (SELECT * FROM docling_gz QUALIFY row_number() OVER (PARTITION BY gz_id ORDER BY doc_id) = 1),
+p1 AS (SELECT doc_id, unnest(c.pages) AS p FROM (SELECT doc_id, unnest(contents) AS c FROM az)),
+rp AS (SELECT doc_id, p.pageNumber AS page_no, unnest(p.words).content AS text FROM p1),
+op AS (SELECT doc_id, t.prov[1].page_no AS page_no, t.text AS text FROM (SELECT doc_id, unnest(texts) AS t FROM gz)),
+rn AS (SELECT doc_id, page_no, regexp_replace(lower(coalesce(text, '')), '[^0-9a-z]', '', 'g') AS norm FROM rp), onn AS (SELECT doc_id, page_no, regexp_replace(lower(coalesce(text, '')), '[^0-9a-z]', '', 'g') AS norm FROM op),
+""" + f"rh AS (SELECT doc_id, page_no, {_hist('r')} FROM rn GROUP BY doc_id, page_no), oh AS (SELECT doc_id, page_no, {_hist('o')} FROM onn GROUP BY doc_id, page_no),\n" + \
+    f"cov AS (SELECT rh.doc_id, rh.page_no, CAST({' + '.join(f'r_{ch}' for ch in coverage.LETTERS)} AS BIGINT) AS ref_chars, CAST({' + '.join(f'least(r_{ch}, coalesce(o_{ch}, 0))' for ch in coverage.LETTERS)} AS BIGINT) AS shared FROM rh LEFT JOIN oh ON rh.doc_id = oh.doc_id AND rh.page_no = oh.page_no),\n" \
+    "covered AS (SELECT * FROM cov WHERE ref_chars >= 20)"
+
+
+def _coverage(spark: SparkSession, d: str) -> DataFrame:
+    """Words a page of the reference are few in these tables, so the least size is 20 characters here."""
+    az = once(table(spark, d, "azure_gz").where("contents IS NOT NULL").select("az_id", "doc_id", "contents"), "az_id")
+    words = az.select("doc_id", F.explode("contents").alias("c")).select("doc_id", F.explode("c.pages").alias("p")).select("doc_id", F.col("p.pageNumber").alias("page_no"), F.explode("p.words").alias("w")).select("doc_id", "page_no", F.col("w.content").alias("text"))
+    gz = once(table(spark, d, "docling_gz").select("gz_id", "doc_id", "texts"), "gz_id")
+    ours = gz.select("doc_id", F.explode("texts").alias("t")).select("doc_id", F.try_element_at(F.col("t.prov"), F.lit(1))["page_no"].alias("page_no"), F.col("t.text").alias("text"))
+    return coverage.page_coverage(ours, words, least=20)
+
+
+@R.query(COV_SQL + " SELECT * FROM covered")
+def coverage_pages(spark: SparkSession, d: str) -> DataFrame:
+    return _coverage(spark, d)
+
+
+@R.query(COV_SQL + """ SELECT doc_id, count(*) AS pages, count(*) FILTER (shared / ref_chars >= 0.95) AS ge95, count(*) FILTER (shared / ref_chars >= 0.8 AND shared / ref_chars < 0.95) AS ge80, count(*) FILTER (shared / ref_chars >= 0.5 AND shared / ref_chars < 0.8) AS ge50, count(*) FILTER (shared / ref_chars < 0.5) AS lt50
+  FROM (SELECT * FROM covered UNION ALL SELECT 'ALL', page_no, ref_chars, shared FROM covered) GROUP BY doc_id""")
+def coverage_summary(spark: SparkSession, d: str) -> DataFrame:
+    return coverage.summary(_coverage(spark, d))
+
+
+AZ_SQL = "WITH az AS (SELECT * FROM azure_gz WHERE contents IS NOT NULL QUALIFY row_number() OVER (PARTITION BY az_id ORDER BY doc_id) = 1)"
+
+
+@R.query(AZ_SQL + " SELECT az_id, coalesce(len(contents[1].pages), 0) AS pages, coalesce(len(contents[1].paragraphs), 0) AS paragraphs, coalesce(len(contents[1].sections), 0) AS sections, coalesce(len(contents[1].tables), 0) AS tables, coalesce(len(contents[1].figures), 0) AS figures FROM az")
+def reference_counts(spark: SparkSession, d: str) -> DataFrame:
+    az = once(table(spark, d, "azure_gz").where("contents IS NOT NULL").select("az_id", "contents"), "az_id").withColumn("c", F.try_element_at("contents", F.lit(1)))
+    return az.select("az_id", *[F.coalesce(F.size(F.when(F.col(f"c.{f}").isNotNull(), F.col(f"c.{f}"))), F.lit(0)).cast("long").alias(f) for f in ("pages", "paragraphs", "sections", "tables", "figures")])
+
+
+@R.query(AZ_SQL + ", e AS (SELECT doc_id, part_no, i, contents[i] AS c FROM (SELECT *, unnest(range(1, len(contents) + 1)) AS i FROM az)) SELECT doc_id, i - 1 AS content_ix, string_agg(c.markdown, '' ORDER BY part_no) AS markdown, CAST(sum(coalesce(len(c.pages), 0)) AS BIGINT) AS pages, arg_max(c.endPageNumber, part_no) AS end_page FROM e WHERE c IS NOT NULL GROUP BY doc_id, i")
+def merge_parts(spark: SparkSession, d: str) -> DataFrame:
+    az = once(table(spark, d, "azure_gz").where("contents IS NOT NULL").select("az_id", "doc_id", "part_no", "contents"), "az_id")
+    e = az.select("doc_id", "part_no", F.posexplode("contents").alias("content_ix", "c")).where("c IS NOT NULL")
+    text = F.array_sort(F.collect_list(F.when(F.col("c.markdown").isNotNull(), F.struct("part_no", F.col("c.markdown").alias("m")))))
+    size = F.coalesce(F.size(F.when(F.col("c.pages").isNotNull(), F.col("c.pages"))), F.lit(0))
+    g = e.groupBy("doc_id", "content_ix").agg(text.alias("x"), F.sum(size).alias("pages"), F.max_by("c.endPageNumber", F.when(F.col("c.endPageNumber").isNotNull(), F.col("part_no"))).alias("end_page"))
+    return g.select("doc_id", "content_ix", F.when(F.size("x") > 0, F.array_join(F.transform("x", lambda v: v["m"]), "")).alias("markdown"), "pages", "end_page")
 
 
 def queries() -> dict:
-    return {}
+    return R.queries()
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return R.oracle_sql()
