@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from pagewright.session import once, spread
 
-MIN_SHARE = 2e-5  # a word enters the lexicon from this share of all items on, which bounds its size
+MIN_SHARE = 2e-5  # a word enters the lexicon from this many times an item on, which bounds its size
 TRAIN_WORDS = 1500  # bound of the words the editor is trained on
 EPOCHS = 4
 
@@ -37,8 +37,7 @@ CONFUSIONS = (
 HYPHENS = "-‐\xad¬"
 WORD = re.compile(r"[^\W_]+(?:['’][^\W_]+)*")
 COMPOUND = re.compile(r"[^\W_]+(?:['’][^\W_]+)*(?:-[^\W_]+(?:['’][^\W_]+)*)+")
-BREAK = re.compile(rf"([^\W_]+(?:['’-][^\W_]+)*)([{HYPHENS}])[ \t]*\n[ \t]*([^\W_]+(?:['’-][^\W_]+)*)")
-LAST_BREAK = re.compile(rf"([^\W_]+(?:['’-][^\W_]+)*)([{HYPHENS}])\s*$")
+LEFT = re.compile(rf"([^\W_]+(?:['’-][^\W_]+)*)([{HYPHENS}])$")
 FIRST_WORD = re.compile(r"\s*([^\W_]+(?:['’-][^\W_]+)*)")
 
 # ---------------------------------------------------------------- averaged perceptron
@@ -219,25 +218,34 @@ class Editor:
 
     def joined(self, text: str) -> tuple[str, bool]:
         """The text with broken words joined and lines flowing, and whether a word was broken."""
-        broken = False
-
-        def mend(m: re.Match) -> str:
-            nonlocal broken
-            if self.joins(m[1], m[2], m[3]):
-                broken = True
-                return m[1] + m[3] + "\x00"  # the line may go on behind the word
-            return f"{m[1]}-{m[3]}\x00"
-
         if "\n" not in text:
             return text, False
-        out = BREAK.sub(mend, text)
-        # A word that is broken twice leaves its second break for another turn.
-        while BREAK.search(out.replace("\x00", "")) and "\x00" in out:
-            again = BREAK.sub(mend, out.replace("\x00", ""))
-            if again == out:
-                break
-            out = again
-        return re.sub(r"\s*\n\s*", " ", out.replace("\x00", "")), broken
+        broken = False
+        lines = text.split("\n")
+        out = [lines[0].rstrip()]
+        for line in lines[1:]:
+            line = line.strip()
+            before = out[-1]
+            if not before or not line or before[-1] not in HYPHENS:
+                out += [" ", line] if before and line else [line]
+                continue
+            left, right = LEFT.search(before.rsplit(None, 1)[-1]), FIRST_WORD.match(line)
+            if left and right:
+                if self.joins(left[1], left[2], right[1]):
+                    broken = True
+                    out[-1] = before[:-1]
+                out.append(line)
+            else:
+                out += [" ", line]
+        return "".join(out), broken
+
+    def clean(self, token: str, ok: dict[str, bool]) -> bool:
+        """Whether no word within white space needs an edit; ``ok`` keeps the decisions."""
+        got = all(self.fix(w) == w for w in WORD.findall(token))
+        if len(ok) > 400_000:
+            ok.clear()
+        ok[token] = got
+        return got
 
 
 # ---------------------------------------------------------------- furniture
@@ -321,7 +329,9 @@ def furniture(texts: list[str | None], pages: list[int | None]) -> dict[int, str
             if len(s) >= 4:
                 skel[i] = s
                 heads[s].add(where[i])
-    body = Counter(skeleton(t) for i, t in enumerate(texts) if t and i not in skel and len(t) <= 140)
+    recurring = {s for s, on_pages in heads.items() if len(on_pages) >= 2}
+    longest = max((len(texts[i]) for i, s in skel.items() if s in recurring), default=0)
+    body = Counter(skeleton(t) for i, t in enumerate(texts) if t and len(t) <= longest and i not in skel and t.rstrip()[-1:] not in ".?!") if recurring else Counter()
     for i, s in skel.items():
         n, total = len(heads[s]), len(on)
         numbered = _SUFFIX.search(" ".join(texts[i].split())) and re.search(r"[Pp]ag", texts[i]) and texts[i].rstrip()[-1:] not in ".?!"
@@ -365,14 +375,16 @@ def furniture(texts: list[str | None], pages: list[int | None]) -> dict[int, str
 
 
 def _odd(editor: Editor, text: str, skip_first: bool, skip_last: bool) -> bool:
-    words = WORD.findall(text)
+    """Whether a word of the text is misread; fragments at its ends are left out."""
+    tokens = text.split()
     if skip_first:
-        words = words[1:]
+        tokens = tokens[1:]
     if skip_last:
-        words = words[:-1]
-    memo = editor._memo
-    for w in words:
-        if (memo.get(w) or editor.fix(w)) != w:
+        tokens = tokens[:-1]
+    ok = editor.__dict__.setdefault("_ok", {})
+    for t in tokens:
+        got = ok.get(t)
+        if not (editor.clean(t, ok) if got is None else got):
             return True
     return False
 
@@ -392,7 +404,8 @@ def repair(texts: list[str | None], pages: list[int | None], editor: Editor, wri
         text = texts[i]
         mended, broken = editor.joined(text)
         starts_open, open_word = open_word, False
-        m = LAST_BREAK.search(mended)
+        end = mended.rstrip()
+        m = LEFT.search(end.rsplit(None, 1)[-1]) if end[-1:] in HYPHENS and end else None
         if m and k + 1 < len(body):
             right = FIRST_WORD.match(texts[body[k + 1]])
             if right and right[1][:1].islower() and editor.joins(m[1], m[2], right[1]):
@@ -430,7 +443,17 @@ def filings(gz: DataFrame, meta: DataFrame) -> DataFrame:
 
 
 def word_counts(rows: DataFrame) -> DataFrame:
-    """(word, clean, n): in how many items a word stands, on clean pages and anywhere."""
+    """(word, clean, n): how often a word stands on clean pages and anywhere."""
+
+    def flush(clean_n: Counter, n: Counter) -> pa.RecordBatch:
+        words: dict[str, list[int]] = {}
+        for token, times in n.items():
+            parts = WORD.findall(token)
+            for w in parts + (COMPOUND.findall(token) if "-" in token else []):
+                at = words.setdefault(w, [0, 0])
+                at[0] += clean_n[token]
+                at[1] += times
+        return pa.RecordBatch.from_pydict({"word": list(words), "clean": [x[0] for x in words.values()], "n": [x[1] for x in words.values()]}, schema=pa.schema([("word", pa.string()), ("clean", pa.int64()), ("n", pa.int64())]))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         clean_n, n = Counter(), Counter()
@@ -442,19 +465,14 @@ def word_counts(rows: DataFrame) -> DataFrame:
                     page = p if p is not None else page
                     if t is None or len(t) < 12:
                         continue
-                    words = set(WORD.findall(t))
-                    if "-" in t:
-                        words.update(COMPOUND.findall(t))
-                    n.update(words)
+                    tokens = t.split()
+                    n.update(tokens)
                     if page in good and "\n" not in t:
-                        clean_n.update(words)
+                        clean_n.update(tokens)
             if len(n) > 300_000:
-                yield _counts(n, clean_n)
+                yield flush(clean_n, n)
                 clean_n, n = Counter(), Counter()
-        yield _counts(n, clean_n)
-
-    def _counts(n: Counter, clean_n: Counter) -> pa.RecordBatch:
-        return pa.RecordBatch.from_pydict({"word": list(n), "clean": [clean_n[w] for w in n], "n": list(n.values())}, schema=pa.schema([("word", pa.string()), ("clean", pa.int64()), ("n", pa.int64())]))
+        yield flush(clean_n, n)
 
     return rows.mapInArrow(scan, "word string, clean long, n long").groupBy("word").agg(F.sum("clean").alias("clean"), F.sum("n").alias("n"))
 
