@@ -35,11 +35,11 @@ def cut(df: DataFrame) -> DataFrame:
 def once(df: DataFrame, key: str) -> DataFrame:
     """Rows repeated whole share their key, so one row per key; rows with a null key are left out.
 
-    The one shuffle also spreads the rows for whatever CPU-bound stage follows.
+    Repeats are dropped before the shuffle as well, so a row repeated very often is no hot key.
     """
     rest = [c for c in df.columns if c != key]
     return (
-        spread(df.where(F.col(key).isNotNull()), key)
+        df.where(F.col(key).isNotNull())
         .groupBy(key)
         .agg(F.first(F.struct(*rest)).alias("_row"))
         .select(key, *[F.col("_row")[c].alias(c) for c in rest])
