@@ -21,7 +21,6 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pagewright.session import once, spread
 
 MIN_SHARE = 2e-5  # a word enters the lexicon from this many times an item on, which bounds its size
 TRAIN_WORDS = 1500  # bound of the words the editor is trained on
@@ -434,12 +433,16 @@ def filings(gz: DataFrame, meta: DataFrame) -> DataFrame:
 
     Whole repeated rows count once. A filing without a run in ``meta`` has no clean page.
     """
-    rows = once(gz.select("gz_id", "doc_id", "run_id", F.transform("texts", lambda t: t["text"]).alias("texts"), F.transform("texts", lambda t: F.try_element_at(t["prov"], F.lit(1))["page_no"]).alias("pages")), "gz_id")
+    flat = gz.where(F.col("doc_id").isNotNull() & F.col("texts").isNotNull()).select(
+        "gz_id", "doc_id", "run_id", F.transform("texts", lambda t: t["text"]).alias("texts"), F.transform("texts", lambda t: F.try_element_at(t["prov"], F.lit(1))["page_no"]).alias("pages")
+    )
+    # Grouped by the join's keys, the long rows are shuffled once for both.
+    rows = flat.groupBy("doc_id", "run_id").agg(F.collect_set(F.struct("gz_id", "texts", "pages")).alias("g"))
     runs = (
         meta.select("doc_id", "run_id", F.transform(F.filter("pages", lambda p: p["staging"] == "as-is"), lambda p: p["page"]).alias("clean"))
         .groupBy("doc_id", "run_id").agg(F.array_distinct(F.flatten(F.collect_list("clean"))).alias("clean"))
     )
-    return rows.join(runs, ["doc_id", "run_id"], "left").where(F.col("doc_id").isNotNull() & F.col("texts").isNotNull()).select("doc_id", "texts", "pages", "clean")
+    return rows.join(runs, ["doc_id", "run_id"], "left").select("doc_id", F.explode("g").alias("g"), "clean").select("doc_id", "g.texts", "g.pages", "clean")
 
 
 def word_counts(rows: DataFrame) -> DataFrame:
