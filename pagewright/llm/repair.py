@@ -320,10 +320,7 @@ def furniture(texts: list[str | None], pages: list[int | None]) -> dict[int, str
         if i in numbers or len(t) > 140 or t.count("\n") > 1:
             continue
         ix = on[where[i]]
-        k = ix.index(i)
-        first = top == 0 or all(j in numbers for j in ix[:k])
-        last = bottom == 0 or all(j in numbers for j in ix[k + 1 :])
-        if first or last:
+        if top == 0 or bottom == 0 or top == 1 and ix[0] in numbers or bottom == 1 and ix[-1] in numbers:
             s = skeleton(t)
             if len(s) >= 4:
                 skel[i] = s
