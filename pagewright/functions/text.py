@@ -7,6 +7,7 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # The White_Space property plus the zero-width marks that print as nothing.
 SPACES = r"(?U)[\s\x1c-\x1f᠎​‌‍⁠﻿]+"
@@ -14,7 +15,7 @@ SPACES = r"(?U)[\s\x1c-\x1f᠎​‌‍⁠﻿]+"
 NONE_WORDS = ("na", "n/a", "n/a.", "n.a", "n.a.", "nd", "n/d", "n.d.", "nil", "none", "null", "s/o", "s.o.", "so", "tbd", "tba")
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def _fold_unicode(values: pd.Series) -> pd.Series:
     def fold(v):
         return None if v is None else unicodedata.normalize("NFC", unicodedata.normalize("NFD", v).casefold())
