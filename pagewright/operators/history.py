@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pagewright.functions.text import blank_to_null, folded
+from pagewright.session import cut
 
 LEAF_BITS = 20
 BRANCH_BITS = 8
@@ -67,6 +68,7 @@ def history(
         .withColumn("_h2", F.shiftright(F.xxhash64("_text", F.lit(7)), 24))
         .drop("_text")
     )
+    signed = cut(signed)  # the trees and the rows under them are read from it, which would otherwise mean a second scan and shuffle
     branches = signed.groupBy("_snap", "_branch").agg(F.sum("_h1").alias("_d1"), F.sum("_h2").alias("_d2"), F.count(F.lit(1)).alias("_dc"))
     roots = branches.groupBy("_snap").agg(F.sum("_d1").alias("_d1"), F.sum("_d2").alias("_d2"), F.sum("_dc").alias("_dc"))
     open_roots = _changed(roots).select("_snap")
