@@ -69,6 +69,7 @@ EMAIL = re.compile(
     r"[a-z0-9](?:[\w-]*\w)?(?:(?:\.|\s*[(\[{<]\s*(?:dot|point|\.)\s*[)\]}>]\s*|\s+(?-i:dot|point|DOT|POINT)\s+)[a-z0-9](?:[\w-]*\w)?)+",
     re.I,
 )
+BRACKET_AT = re.compile(r"[(\[{<]\s*(?:at|arobase|à|@)\s*[)\]}>]", re.I)
 _D = "[0-9OolI]"
 PHONE = re.compile(
     rf"(?<![\w+.{DASH}])(?<!\d/)(?:(?:\+\s?)?1[\s.{DASH}]?)?(?:\([2-9]{_D}{{2}}\)\s?|[2-9]{_D}{{2}}[\s./{DASH}]?\s?){_D}{{3}}[\s.{DASH}]?\s?{_D}{{4}}(?![\w/+]|[{DASH}.]\d)"
@@ -85,7 +86,8 @@ ID_LABEL = re.compile(
     r"(?i)(?:\bs\.?\s?i\.?\s?n\b\.?|social insurance|assurance[\s-]sociale|\bn\.?\s?a\.?\s?s\b\.?|passe?port\w*|licen[cs]e|permis de conduire|\bdl\b|"
     r"health (?:card|number|care)|\bphn\b|\bohip\b|\bramq\b|assurance[\s-]maladie|carte (?:sant[eé]|soleil)|medicare|care card|iban)"
 )
-ID_AFTER_LABEL = r"(?:\s*(?:number|num[eé]ro|no|n[o°]|card|#|is|est|was|:|\.|\(|-))*\s*"
+# The label right before a value, with what may stand between them.
+ID_BEFORE = re.compile(rf"(?:{ID_LABEL.pattern})(?i:\s*(?:number|num[eé]ro|no|n[o°]|card|#|is|est|was|:|\.|\(|-))*\s*$".replace("(?i)", ""), re.I)
 ID_VALUE = re.compile(
     rf"(?<![\w{DASH}])(?:[A-Z]{{2}}\d{{2}}(?:\s?[A-Z0-9]{{4}}){{3,7}}(?:\s?[A-Z0-9]{{1,3}})?|[A-Z]{{4}}[\s{DASH}]?\d{{4}}[\s{DASH}]?\d{{4}}|[A-Z]\d{{4}}[\s{DASH}]?\d{{5,6}}[\s{DASH}]?\d{{2,5}}|[A-Z]{{1,2}}\s?\d{{6,7}}|"
     rf"\d{{6}}[\s{DASH}]\d{{3}}|\d{{4}}[\s{DASH}]?\d{{3}}[\s{DASH}]?\d{{3}}(?:[\s{DASH}]?[A-Z]{{2}})?|[0-9Ol]{{3}}[\s.{DASH}]?[0-9Ol]{{3}}[\s.{DASH}]?[0-9Ol]{{3}})(?![\w]|[{DASH}.]\d)"
@@ -116,6 +118,7 @@ _BOX = rf"(?:(?:P\.?\s?O\.?\s*)?\bBox\s\d{{1,6}}|\b(?:C\.\s?P\.|CP|Case postale)
 ADDRESS = re.compile(rf"(?<![\w{DASH}.+/])(?:{_CIVIC}|{_BOX})(?:\s*[,\n]\s*(?:{_BOX}\s*[,\n]\s*)?{_TAIL})")
 # A box or civic line whose town comes without a comma still ends with a postal code.
 ADDRESS_CODE = re.compile(rf"(?<![\w{DASH}.+/])(?:{_CIVIC}|{_BOX})\s+{_TOWN}[,\s]*\(?(?:{PROVINCE})?\)?[,\s]*{POSTAL}\b")
+POSTAL_CODE = re.compile(rf"\b{POSTAL}\b")
 ADDRESS_HINT = re.compile(r"\d|Delivery|restante")
 
 # ---------------------------------------------------------------- names
@@ -242,7 +245,7 @@ def find(text: str | None) -> list[tuple[str, int, int, float]]:
     if not text:
         return []
     spans: list[tuple[str, int, int, float]] = []
-    if "@" in text or " at" in text or "(at" in text or "[at" in text or "AT" in text or "arobase" in text:
+    if "@" in text or " dot " in text or " point " in text or " DOT " in text or " POINT " in text or BRACKET_AT.search(text):
         for m in EMAIL.finditer(text):
             spans.append(("email", *m.span(), 0.95))
     for m in PHONE.finditer(text):
@@ -253,10 +256,8 @@ def find(text: str | None) -> list[tuple[str, int, int, float]]:
         if sum(c in "OolI" for c in m[0]) > 2:
             score -= 0.5
         spans.append(("phone", *m.span(), score))
-    for label in ID_LABEL.finditer(text):
-        after = re.compile(ID_AFTER_LABEL, re.I).match(text, label.end())
-        m = ID_VALUE.match(text, after.end())
-        if m:
+    for m in ID_VALUE.finditer(text):
+        if ID_BEFORE.search(text[max(0, m.start() - 60) : m.start()]):
             digits = re.sub(r"\D", "", m[0])
             score = 0.6 + 0.2 * (len(digits) == 9 and luhn(digits)) + 0.2 * mod11_health(digits) + 0.2 * mod97(m[0])
             spans.append(("id_number", *m.span(), score))
@@ -266,7 +267,7 @@ def find(text: str | None) -> list[tuple[str, int, int, float]]:
         score = 0.1 + 0.25 * luhn(digits) + 0.4 * bool(ID_LABEL.search(near)) - 0.6 * bool(THING.search(near))
         spans.append(("id_number", *m.span(), score))
     if ADDRESS_HINT.search(text):
-        for pattern in (ADDRESS, ADDRESS_CODE):
+        for pattern in (ADDRESS, ADDRESS_CODE) if POSTAL_CODE.search(text) else (ADDRESS,):
             for m in pattern.finditer(text):
                 spans.append(("address", *m.span(), 0.7))
     taken = [(s, e) for _, s, e, score in spans if score >= THRESHOLD]
