@@ -168,6 +168,7 @@ class Model:
 # ---------------------------------------------------------------- segments
 
 _END = re.compile(r"(?<=[.?!])[\"'»”)]*\s+(?=[¿¡«\"“(]*[A-ZÀ-ÖØ-ÞŒ0-9])")
+_CONSONANTS = tuple("bcdfgkmnprstvz")
 _ABBREVIATION = re.compile(r"\b(?:Inc|Ltd|Corp|Co|Mr|Mrs|Ms|Dr|St|No|Mme|M|Sr|Sra|Nr|bzw|[A-Z])\.$")
 
 
@@ -181,7 +182,10 @@ def sentences(text: str) -> list[tuple[str, bool]]:
             held = part
             continue
         words = part.split()
-        full = len(words) >= 4 and part[-1:] in ".?!" and part.lstrip("¿¡«\"“(")[:1].isupper()
+        # Scans may show the first letter as a digit or a small l; only a lower-case start of the item is a remainder.
+        first = part.lstrip("¿¡«\"“(")[:2]
+        whole = first[:1].isupper() or first[:1].isdigit() or first[:1] == "l" and first[1:] in _CONSONANTS
+        full = len(words) >= 4 and part[-1:] in ".?!" and (whole or bool(out))
         out.append((part, full))
     if held:
         out.append((held, False))

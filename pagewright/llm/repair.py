@@ -37,6 +37,7 @@ HYPHENS = "-‐\xad¬"
 WORD = re.compile(r"[^\W_]+(?:['’][^\W_]+)*")
 COMPOUND = re.compile(r"[^\W_]+(?:['’][^\W_]+)*(?:-[^\W_]+(?:['’][^\W_]+)*)+")
 LEFT = re.compile(rf"([^\W_]+(?:['’-][^\W_]+)*)([{HYPHENS}])$")
+DECIMAL = re.compile(r"(?<![^\W_])(\d+)([.,])([0-9]*[OolISB][0-9OolISB]*)(?![^\W_])")
 FIRST_WORD = re.compile(r"\s*([^\W_]+(?:['’-][^\W_]+)*)")
 
 # ---------------------------------------------------------------- averaged perceptron
@@ -238,9 +239,18 @@ class Editor:
                 out += [" ", line]
         return "".join(out), broken
 
+    def decimals(self, text: str) -> str:
+        """Letters behind a decimal mark are digits if the whole number edits to one."""
+
+        def mend(m: re.Match) -> str:
+            whole = self.fix(m[1] + m[3])
+            return m[1] + m[2] + whole[len(m[1]) :] if whole.isdigit() and len(whole) == len(m[1]) + len(m[3]) else m[0]
+
+        return DECIMAL.sub(mend, text)
+
     def clean(self, token: str, ok: dict[str, bool]) -> bool:
         """Whether no word within white space needs an edit; ``ok`` keeps the decisions."""
-        got = all(self.fix(w) == w for w in WORD.findall(token))
+        got = all(self.fix(w) == w for w in WORD.findall(token)) and self.decimals(token) == token
         if len(ok) > 400_000:
             ok.clear()
         ok[token] = got
@@ -412,7 +422,7 @@ def repair(texts: list[str | None], pages: list[int | None], editor: Editor, wri
             found.append((i, "misread"))
         if not write:
             continue
-        fixed = WORD.sub(lambda w: editor.fix(w[0]), mended)
+        fixed = WORD.sub(lambda w: editor.fix(w[0]), editor.decimals(mended))
         if open_word:
             fixed = re.sub(rf"[{HYPHENS}]\s*$", "", fixed)
         if starts_open and paragraphs:

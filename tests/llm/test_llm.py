@@ -133,6 +133,7 @@ def test_held_out_misreads():
 
 def test_numbers():
     assert EDITOR.fix("2O5") == "205" and EDITOR.fix("205") == "205"
+    assert EDITOR.decimals("12.O and 233,5 or v2.O1x") == "12.0 and 233,5 or v2.O1x" and not EDITOR.clean("233.O", {})
 
 
 def test_line_ends():
