@@ -52,7 +52,7 @@ def history(
     Of several rows of one key and snapshot the one loaded last counts (ties: the larger
     ``tiebreak``; a null load time loses). Blank values keep the last known value, white space,
     case and Unicode composition are no change, a snapshot without the key changes nothing.
-    ``to_snapshot`` is null for the open version. Rows with a null key or snapshot belong to no
+    Values are shown as spelled where they came up. ``to_snapshot`` is null for the open version. Rows with a null key or snapshot belong to no
     item and give nothing; an empty table gives no row; extra columns are ignored.
     ``leaf_bits`` should put a handful of keys into a leaf.
     """
@@ -83,10 +83,14 @@ def history(
 
     item = Window.partitionBy("_leaf", "_key").orderBy("_snap")
     so_far = item.rowsBetween(Window.unboundedPreceding, 0)
+    until = item.rowsBetween(Window.unboundedPreceding, -1)
+    changed = changed.select("_leaf", "_key", "_snap", *normal, *[f"_v{i}" for i in range(n)], *[F.last(f"_n{i}", ignorenulls=True).over(until).alias(f"_p{i}") for i in range(n)])
+    # A value is shown as spelled where it came up, which no pruned row can be.
+    fresh = lambda i: F.col(f"_n{i}").isNotNull() & ~F.col(f"_n{i}").eqNullSafe(F.col(f"_p{i}"))
     known = changed.select(
         "_leaf", "_key", "_snap",
         *[F.last(f"_n{i}", ignorenulls=True).over(so_far).alias(f"_n{i}") for i in range(n)],
-        *[F.last(F.when(F.col(f"_n{i}").isNotNull(), F.col(f"_v{i}")), ignorenulls=True).over(so_far).alias(f"_v{i}") for i in range(n)],
+        *[F.last(F.when(fresh(i), F.col(f"_v{i}")), ignorenulls=True).over(so_far).alias(f"_v{i}") for i in range(n)],
     )
     now = F.struct(*normal)
     versions = known.withColumn("_now", now).withColumn("_before", F.lag("_now").over(item)).where(~F.col("_now").eqNullSafe(F.col("_before")))

@@ -128,6 +128,16 @@ P4_SQL = (
     "b AS (SELECT *, row_number() OVER w AS i, " + ", ".join(f"lag({a}) OVER w AS o_{a}" for a in ATTRS) + " FROM k WINDOW w AS (PARTITION BY document_id ORDER BY crawl_no)) "
     "SELECT document_id, crawl_no AS from_crawl, coalesce(lead(crawl_no) OVER (PARTITION BY document_id ORDER BY crawl_no), 0) AS to_crawl FROM b WHERE i = 1 OR " + " OR ".join(f"{a} IS DISTINCT FROM o_{a}" for a in ATTRS)
 )
+P4_HISTORY_SQL = (
+    "WITH d AS (SELECT * FROM catalogue_row WHERE document_id IS NOT NULL AND crawl_no IS NOT NULL QUALIFY row_number() OVER (PARTITION BY document_id, crawl_no ORDER BY loaded_at DESC NULLS LAST, row_id DESC) = 1), "
+    "m AS (SELECT document_id, crawl_no, " + ", ".join(f"{v} AS n_{a}, {a} AS v_{a}" for a, v in _VALUE.items()) + " FROM d), "
+    "p AS (SELECT *, " + ", ".join(f"last_value(n_{a} IGNORE NULLS) OVER w AS p_{a}" for a in ATTRS) + " FROM m WINDOW w AS (PARTITION BY document_id ORDER BY crawl_no ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)), "
+    "n AS (SELECT document_id, crawl_no, " + ", ".join(f"n_{a}, CASE WHEN n_{a} IS NOT NULL AND n_{a} IS DISTINCT FROM p_{a} THEN v_{a} END AS v_{a}" for a in ATTRS) + " FROM p), "
+    "k AS (SELECT document_id, crawl_no, " + ", ".join(f"last_value(n_{a} IGNORE NULLS) OVER w AS n_{a}, last_value(v_{a} IGNORE NULLS) OVER w AS v_{a}" for a in ATTRS) + " FROM n WINDOW w AS (PARTITION BY document_id ORDER BY crawl_no)), "
+    "b AS (SELECT *, row_number() OVER w AS i, " + ", ".join(f"lag(n_{a}) OVER w AS o_{a}" for a in ATTRS) + " FROM k WINDOW w AS (PARTITION BY document_id ORDER BY crawl_no)), "
+    "c AS (SELECT * FROM b WHERE i = 1 OR " + " OR ".join(f"n_{a} IS DISTINCT FROM o_{a}" for a in ATTRS) + ") "
+    "SELECT document_id, crawl_no AS from_snapshot, lead(crawl_no) OVER (PARTITION BY document_id ORDER BY crawl_no) AS to_snapshot, " + ", ".join(f"v_{a} AS {a}" for a in ATTRS) + " FROM c"
+)
 _SIDE = "(SELECT {0}, * FROM {1} QUALIFY row_number() OVER (PARTITION BY {2} ORDER BY {3} DESC NULLS LAST) = 1)"
 _ID = "ltrim(regexp_extract({0}, '(\\d+)', 1), '0') AS k"
 P5_SQL = f"""WITH a AS {_SIDE.format(_ID.format("doc_id"), "azure_meta", "ltrim(regexp_extract(doc_id, '(\\d+)', 1), '0')", "created_at")},
@@ -139,6 +149,7 @@ f AS (SELECT a.k AS doc_id, 'docling_meta' AS other, unnest([{{'f': 'page_count'
 SELECT doc_id, other, v.f AS field, 'differs' AS kind FROM f WHERE v.x IS DISTINCT FROM v.y
 UNION ALL SELECT k, 'docling_meta', 'row', 'missing_there' FROM a WHERE k NOT IN (SELECT k FROM d) UNION ALL SELECT k, 'docling_meta', 'row', 'missing_here' FROM d WHERE k NOT IN (SELECT k FROM a)
 UNION ALL SELECT k, 'analyses', 'row', 'missing_there' FROM a WHERE k NOT IN (SELECT k FROM an) UNION ALL SELECT k, 'analyses', 'row', 'missing_here' FROM an WHERE k NOT IN (SELECT k FROM a)"""
+P5_REPORT_SQL = P5_SQL.replace("'differs' AS kind FROM f", "'differs' AS kind, v.x::VARCHAR AS here, v.y::VARCHAR AS there FROM f").replace("'missing_there' FROM", "'missing_there', NULL, NULL FROM").replace("'missing_here' FROM", "'missing_here', NULL, NULL FROM")
 P1_CONFLICTS_SQL = """WITH dm AS (SELECT * FROM docling_meta QUALIFY row_number() OVER (PARTITION BY meta_id ORDER BY doc_id) = 1),
 pg AS (SELECT meta_id, i - 1 AS i, pages[i].variant_agreement.numeric_conflicts AS l FROM (SELECT *, unnest(range(1, len(pages) + 1)) AS i FROM dm)),
 cf AS (SELECT meta_id, i, k - 1 AS k, l[k] AS c FROM (SELECT *, unnest(range(1, len(l) + 1)) AS k FROM pg) WHERE l[k] IS NOT NULL)
@@ -146,4 +157,4 @@ SELECT meta_id AS rec_id, i::VARCHAR || '.' || k::VARCHAR AS path, 'agreement' A
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"p1_found": P1_SQL, "p1_conflicts": P1_CONFLICTS_SQL, "p4_found": P4_SQL, "p5_found": P5_SQL}
+    return {"p1_found": P1_SQL, "p1_conflicts": P1_CONFLICTS_SQL, "p4_found": P4_SQL, "p4_history": P4_HISTORY_SQL, "p5_found": P5_SQL, "p5_report": P5_REPORT_SQL}
