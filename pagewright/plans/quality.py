@@ -10,7 +10,7 @@ from pagewright.operators import coverage, readings, tables
 from pagewright.plans.registry import Registry
 from pagewright.session import once, table
 from pagewright.sources import fixtures as fx
-from pagewright.sources.extractions import reference_records
+from pagewright.sources.extractions import references
 
 R = Registry()
 PAGE = ["doc_id", "page_no"]
@@ -390,7 +390,7 @@ rn AS (SELECT doc_id, page_no, regexp_replace(lower(coalesce(text, '')), '[^0-9a
 
 def _coverage(spark: SparkSession, d: str) -> DataFrame:
     """Words a page of the reference are few in these tables, so the least size is 20 characters here."""
-    az = once(table(spark, d, "azure_gz").where("contents IS NOT NULL").select("az_id", "doc_id", "contents"), "az_id")
+    az = references(spark, d, "doc_id")
     words = az.select("doc_id", F.explode("contents").alias("c")).select("doc_id", F.explode("c.pages").alias("p")).select("doc_id", F.col("p.pageNumber").alias("page_no"), F.explode("p.words").alias("w")).select("doc_id", "page_no", F.col("w.content").alias("text"))
     gz = once(table(spark, d, "docling_gz").select("gz_id", "doc_id", "texts"), "gz_id")
     ours = gz.select("doc_id", F.explode("texts").alias("t")).select("doc_id", F.try_element_at(F.col("t.prov"), F.lit(1))["page_no"].alias("page_no"), F.col("t.text").alias("text"))
@@ -413,13 +413,13 @@ AZ_SQL = "WITH az AS (SELECT * FROM azure_gz WHERE contents IS NOT NULL QUALIFY
 
 @R.query(AZ_SQL + " SELECT az_id, coalesce(len(contents[1].pages), 0) AS pages, coalesce(len(contents[1].paragraphs), 0) AS paragraphs, coalesce(len(contents[1].sections), 0) AS sections, coalesce(len(contents[1].tables), 0) AS tables, coalesce(len(contents[1].figures), 0) AS figures FROM az")
 def reference_counts(spark: SparkSession, d: str) -> DataFrame:
-    az = once(table(spark, d, "azure_gz").where("contents IS NOT NULL").select("az_id", "contents"), "az_id").withColumn("c", F.try_element_at("contents", F.lit(1)))
+    az = references(spark, d).where("contents IS NOT NULL").withColumn("c", F.try_element_at("contents", F.lit(1)))
     return az.select("az_id", *[F.coalesce(F.size(F.when(F.col(f"c.{f}").isNotNull(), F.col(f"c.{f}"))), F.lit(0)).cast("long").alias(f) for f in ("pages", "paragraphs", "sections", "tables", "figures")])
 
 
 @R.query(AZ_SQL + ", e AS (SELECT doc_id, part_no, i, contents[i] AS c FROM (SELECT *, unnest(range(1, len(contents) + 1)) AS i FROM az)) SELECT doc_id, i - 1 AS content_ix, string_agg(c.markdown, '' ORDER BY part_no) AS markdown, CAST(sum(coalesce(len(c.pages), 0)) AS BIGINT) AS pages, arg_max(c.endPageNumber, part_no) AS end_page FROM e WHERE c IS NOT NULL GROUP BY doc_id, i")
 def merge_parts(spark: SparkSession, d: str) -> DataFrame:
-    az = once(table(spark, d, "azure_gz").where("contents IS NOT NULL").select("az_id", "doc_id", "part_no", "contents"), "az_id")
+    az = references(spark, d, "doc_id", "part_no")
     e = az.select("doc_id", "part_no", F.posexplode("contents").alias("content_ix", "c")).where("c IS NOT NULL")
     text = F.array_sort(F.collect_list(F.when(F.col("c.markdown").isNotNull(), F.struct("part_no", F.col("c.markdown").alias("m")))))
     size = F.coalesce(F.size(F.when(F.col("c.pages").isNotNull(), F.col("c.pages"))), F.lit(0))

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pagewright.session import once, table
+
 # Words stay text here: an element is an object or a bare word.
 LOOSE = (
     "ARRAY<STRUCT<markdown:STRING,endPageNumber:STRING,"
@@ -75,3 +77,8 @@ def reference_records(azure_gz: DataFrame) -> DataFrame:
     kind = azure_gz.schema["contents"].dataType.simpleString()
     parsed = parse_contents(F.when(F.col("contents").isNull(), F.col("contents_raw"))).cast(kind)
     return azure_gz.withColumn("contents", F.coalesce("contents", parsed)).drop("contents_raw")
+
+
+def references(spark: SparkSession, d: str, *cols: str) -> DataFrame:
+    """(az_id, *cols, contents): every reference record once, in whichever wrapping its contents came."""
+    return reference_records(once(table(spark, d, "azure_gz").select("az_id", *cols, "contents", "contents_raw"), "az_id"))
