@@ -10,6 +10,7 @@ from pagewright.operators import catalog
 from pagewright.plans.registry import Registry
 from pagewright.session import once, table
 from pagewright.sources import fixtures as fx
+from pagewright.sources.extractions import reference_records, references
 
 R = Registry()
 
@@ -336,7 +337,7 @@ def artifact_validate(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _validated(spark: SparkSession, d: str) -> DataFrame:
-    az = table(spark, d, "azure_gz").where("contents IS NOT NULL").select("doc_id", "analyzer_id", F.size("contents").alias("n")).groupBy("doc_id").agg(F.min("analyzer_id").alias("az_analyzer"), F.sum("n").alias("parts"), F.lit(True).alias("has"))
+    az = reference_records(table(spark, d, "azure_gz").select("doc_id", "analyzer_id", "contents", "contents_raw")).where("contents IS NOT NULL").select("doc_id", "analyzer_id", F.size("contents").alias("n")).groupBy("doc_id").agg(F.min("analyzer_id").alias("az_analyzer"), F.sum("n").alias("parts"), F.lit(True).alias("has"))
     j = _ledger(spark, d).join(az, "doc_id", "left")
     reason = F.when(F.col("has").isNull(), "no artifact").when(~F.col("analyzer_id").eqNullSafe(F.col("az_analyzer")), "other analyzer").when(F.coalesce("parts", F.lit(0)) == 0, "empty contents").when(F.col("page_count").isNull(), "no page count")
     return j.withColumn("invalid_reason", reason)
@@ -375,7 +376,7 @@ def run_outcome(spark: SparkSession, d: str) -> DataFrame:
 @R.query("WITH az AS (SELECT * FROM azure_gz WHERE contents IS NOT NULL QUALIFY row_number() OVER (PARTITION BY az_id ORDER BY doc_id) = 1), s AS (SELECT doc_id, CAST(sum(coalesce(list_sum(list_transform(contents, lambda c: coalesce(len(c.pages), 0))), 0)) AS BIGINT) AS got FROM az GROUP BY doc_id), m AS (SELECT doc_id, arg_max(page_count, created_at) AS want FROM azure_meta WHERE page_count IS NOT NULL GROUP BY doc_id) SELECT s.doc_id, got, want FROM s JOIN m ON s.doc_id = m.doc_id WHERE got <> want")
 def range_audit(spark: SparkSession, d: str) -> DataFrame:
     """Filings whose parts together hold another number of pages than the import recorded."""
-    az = once(table(spark, d, "azure_gz").where("contents IS NOT NULL").select("az_id", "doc_id", "contents"), "az_id")
+    az = references(spark, d, "doc_id")
     n = F.aggregate("contents", F.lit(0), lambda a, c: a + F.coalesce(F.size(F.when(c["pages"].isNotNull(), c["pages"])), F.lit(0)))
     got = az.select("doc_id", n.alias("n")).groupBy("doc_id").agg(F.sum("n").alias("got"))
     want = table(spark, d, "azure_meta").where("page_count IS NOT NULL").groupBy("doc_id").agg(F.max_by("page_count", "created_at").alias("want"))

@@ -4,7 +4,7 @@ import json
 
 import pytest
 
-from pagewright.plans import quality
+from pagewright.plans import catalogue, quality
 
 CONTENT = "struct<markdown:string,endPageNumber:int,pages:array<struct<pageNumber:int,words:array<struct<content:string,confidence:double>>>>,paragraphs:array<struct<role:string,content:string>>,sections:array<struct<elements:array<string>>>,tables:array<struct<rowCount:int,columnCount:int,cells:array<struct<kind:string,rowIndex:int,columnIndex:int,content:string>>>>,figures:array<struct<id:string,caption:struct<content:string>>>,lines:array<struct<content:string>>,words:array<struct<content:string,confidence:double>>>"
 AZURE = f"az_id long, doc_id string, part_no int, analyzer_id string, contents array<{CONTENT}>, contents_raw string"
@@ -41,3 +41,15 @@ def test_counts_see_contents_that_came_as_text(spark, folder):
 def test_merge_sees_contents_that_came_as_text(spark, folder):
     got = {r.doc_id: (r.content_ix, r.markdown, r.pages, r.end_page) for r in quality.merge_parts(spark, folder).collect()}
     assert got == {"a": (0, "A1 A2", 2, 2), "b": (0, "B", 1, 1), "d": (0, "D", 1, 1)}
+
+
+def test_audits_see_contents_that_came_as_text(spark, folder):
+    ledger = [(i, f"doc-{k}", 1, "z", "SUCCEEDED", 1) for i, k in enumerate(("1", "2", "3", "4"))]
+    at = f"{folder}/audits"
+    azure = spark.read.parquet(f"{folder}/azure_gz.parquet").replace({"a": "1", "b": "2", "c": "3", "d": "4"}, subset=["doc_id"])
+    azure.write.parquet(f"{at}/azure_gz.parquet")
+    spark.createDataFrame(ledger, "id long, document_id string, run_id int, analyzer_id string, status string, page_count int").write.parquet(f"{at}/analyses.parquet")
+    spark.createDataFrame([("1", 2, 1), ("2", 5, 1), ("3", 1, 1), ("4", 1, 1)], "doc_id string, page_count int, created_at int").write.parquet(f"{at}/azure_meta.parquet")
+    assert {r.id: r.invalid_reason for r in catalogue.artifact_validate(spark, at).collect()} == {0: None, 1: None, 2: "no artifact", 3: None}
+    assert {r.id: r.status for r in catalogue.audit_artifacts(spark, at).collect()} == {0: "SUCCEEDED", 1: "SUCCEEDED", 2: "STALE_ARTIFACTS", 3: "SUCCEEDED"}
+    assert [(r.doc_id, r.got, r.want) for r in catalogue.range_audit(spark, at).collect()] == [("2", 1, 5)]
