@@ -473,7 +473,7 @@ def word_counts(rows: DataFrame) -> DataFrame:
                 page = None
                 for t, p in zip(texts, pages):
                     page = p if p is not None else page
-                    if t is None or len(t) < 12:
+                    if t is None:
                         continue
                     tokens = t.split()
                     n.update(tokens)
