@@ -209,10 +209,10 @@ def items(gz: DataFrame) -> DataFrame:
 def training_sample(gz: DataFrame, sample_items: int = SAMPLE_ITEMS, sample_chars: int = SAMPLE_CHARS) -> dict[str, str]:
     """Labelled text per language, at most ``sample_chars`` each, vetted by function words.
 
-    The sample is bounded: the top rows per language by a hash are limited before the shuffle.
+    The sample is bounded: the top distinct texts per language by a hash, so that copies of one text do not fill it.
     """
-    rows = gz.select("gz_id", label_language(F.col("lang_label")).alias("lang"), F.explode("texts.text").alias("text")).where(F.col("lang").isNotNull() & F.length("text").between(80, 2000))
-    ranked = rows.withColumn("n", F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("text"), "gz_id"))).where(F.col("n") <= sample_items)
+    rows = gz.select(label_language(F.col("lang_label")).alias("lang"), F.explode("texts.text").alias("text")).where(F.col("lang").isNotNull() & F.length("text").between(80, 2000))
+    ranked = rows.distinct().withColumn("n", F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("text"), "text"))).where(F.col("n") <= sample_items)
     rows = ranked.select("lang", "text").orderBy("lang", "n").collect()  # at most languages x sample_items rows
     labelled = list(dict.fromkeys((r.lang, p) for r in rows for p, full in sentences(r.text) if full))
     got: dict[str, list[str]] = {k: [] for k in LANGS}

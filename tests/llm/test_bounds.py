@@ -1,9 +1,22 @@
 """Text operators on inputs that a bound would cut."""
 
-from pagewright.llm import repair
+from pyspark.sql import functions as F
+
+from pagewright.llm import language, repair
 
 
 def test_words_of_short_items_count(spark):
     rows = spark.createDataFrame([(["Easements", "The Easements of the pipeline", "7", None, ""], [1, 1, 1, 1, 1], [1])], "texts array<string>, pages array<int>, clean array<int>")
     got = {r.word: (r.clean, r.n) for r in repair.word_counts(rows).collect()}
     assert got["Easements"] == (2, 2) and got["pipeline"] == (1, 1)
+
+
+def test_copies_do_not_fill_the_sample(spark):
+    many = ["The water of well %s was tested by the company and it has not been in use for years." % w for w in ("one", "two", "three", "four", "five", "six")]
+    # The text that sorts first by its hash is copied often enough to fill the sample alone.
+    first = spark.createDataFrame([(t,) for t in many], "t string").orderBy(F.xxhash64("t")).first().t
+    item = lambda t: {"text": t, "prov": None}
+    rows = [(i, "a", "en", [item(first)]) for i in range(20)] + [(100 + i, "b", "en", [item(t)]) for i, t in enumerate(many)]
+    gz = spark.createDataFrame(rows, "gz_id long, doc_id string, lang_label string, texts array<struct<text:string,prov:array<struct<page_no:int>>>>")
+    sample = language.training_sample(gz, sample_items=6)["en"]
+    assert all(t in sample for t in many)
