@@ -196,7 +196,7 @@ def container_walk(spark: SparkSession, d: str) -> DataFrame:
     k = F.col("c_custkey")
     edges = table(spark, d, "customer").select(F.floor(k / 3).cast("long").alias("parent"), k.alias("child"))
     edges = edges.unionByName(spark.sql("SELECT 7L AS parent, 2L AS child"))
-    return catalog.container_walk(edges, table(spark, d, "nation").select(F.col("n_nationkey").cast("long").alias("root")), 12)
+    return catalog.container_walk(edges, table(spark, d, "nation").select(F.col("n_nationkey").cast("long").alias("root")))
 
 
 @R.query("SELECT document_id, list_sort(list(DISTINCT filing_number)) AS containers FROM catalogue_row WHERE filing_number IS NOT NULL AND document_id IS NOT NULL GROUP BY document_id")
