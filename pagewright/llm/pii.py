@@ -70,6 +70,7 @@ EMAIL = re.compile(
     re.I,
 )
 BRACKET_AT = re.compile(r"[(\[{<]\s*(?:at|arobase|à|@)\s*[)\]}>]", re.I)
+SPACED_DOT = re.compile(r"\s(?:dot|point|DOT|POINT)\s")
 _D = "[0-9OolI]"
 PHONE = re.compile(
     rf"(?<![\w+.{DASH}])(?<!\d/)(?:(?:\+\s?)?1[\s.{DASH}]?)?(?:\([2-9]{_D}{{2}}\)\s?|[2-9]{_D}{{2}}[\s./{DASH}]?\s?){_D}{{3}}[\s.{DASH}]?\s?{_D}{{4}}(?![\w/+]|[{DASH}.]\d)"
@@ -149,7 +150,7 @@ DOES = re.compile(
 )
 CLOSING = re.compile(
     rf"(?im)^(?:Sincerely|Yours (?:truly|sincerely|faithfully)|Respectfully(?: submitted)?|Thanks|Thank you|Regards|(?:Best|Kind|Warm) regards|Best|Cordialement|Merci|Salutations|Bien à vous|Sinc[eè]rement|"
-    rf"Veuillez agr[eé]er[^\n]{{0,60}}|Respectueusement)[,.]?[ \u00a0]*\n\s*({_LINE})[ \u00a0]*$"
+    rf"Veuillez agr[eé]er[^\n]*|Respectueusement)[,.]?[ \u00a0]*\n\s*({_LINE})[ \u00a0]*$"
 )
 HEAD = re.compile(rf"\A\s*({_LINE})[ \u00a0]*\n(?=[^\n]*(?:\d|@|\bat\b|Box|R\.R\.))")
 PLACE_BEFORE = re.compile(r"\b(?:of|at|in|near|from|to|de|du|à|par|près)\s+$")
@@ -245,7 +246,7 @@ def find(text: str | None) -> list[tuple[str, int, int, float]]:
     if not text:
         return []
     spans: list[tuple[str, int, int, float]] = []
-    if "@" in text or " dot " in text or " point " in text or " DOT " in text or " POINT " in text or BRACKET_AT.search(text):
+    if "@" in text or SPACED_DOT.search(text) or BRACKET_AT.search(text):
         for m in EMAIL.finditer(text):
             spans.append(("email", *m.span(), 0.95))
     for m in PHONE.finditer(text):

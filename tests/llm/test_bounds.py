@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from pagewright.llm import language, repair
+from pagewright.llm import language, pii, repair
 
 
 def test_words_of_short_items_count(spark):
@@ -20,3 +20,13 @@ def test_copies_do_not_fill_the_sample(spark):
     gz = spark.createDataFrame(rows, "gz_id long, doc_id string, lang_label string, texts array<struct<text:string,prov:array<struct<page_no:int>>>>")
     sample = language.training_sample(gz, sample_items=6)["en"]
     assert all(t in sample for t in many)
+
+
+def test_a_long_closing_formula_has_its_signer():
+    text = "Bonjour,\nLe puits est sec.\n\nVeuillez agréer, Madame, Monsieur, l'expression de mes sentiments les plus distingués,\nLuc Fernet\n"
+    assert [text[s:e] for k, s, e, _ in pii.find(text) if k == "name"] == ["Luc Fernet"]
+
+
+def test_disguised_addresses_with_any_white_space():
+    for text in ("Write to jo.b at mail dot\ntest today.", "Write to jo.b at mail dot test today."):
+        assert [k for k, *_ in pii.find(text)] == ["email"], text
