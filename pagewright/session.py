@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,15 +24,33 @@ def spread(df: DataFrame, *cols) -> DataFrame:
     return df.repartition(width(df.sparkSession), *cols)
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint in the shared folder of the session; a private folder only where none is set."""
-    sc = df.sparkSession.sparkContext
+def shared_folder(spark: SparkSession) -> str:
+    """The session's checkpoint folder, which all executors share; one of our own only on a single machine."""
+    sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
         shared = sc.getConf().get("spark.checkpoint.dir", None)
+        if shared is None and not sc.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         sc.setCheckpointDir(shared or tempfile.mkdtemp(prefix="pagewright-"))
+    return sc.getCheckpointDir()
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """Reliable checkpoint in the shared folder of the session."""
+    shared_folder(df.sparkSession)
     return df.checkpoint()
 
 
+def store(df: DataFrame) -> DataFrame:
+    """The rows written once as a compressed table in the shared folder and read back; gone when the session ends."""
+    spark = df.sparkSession
+    at = f"{shared_folder(spark)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(at)
+    path = spark._jvm.org.apache.hadoop.fs.Path(at)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(path)
+    return spark.read.schema(df.schema).parquet(at)
+
+
 def once(df: DataFrame, key: str) -> DataFrame:
     """Rows repeated whole share their key, so one row per key; rows with a null key are left out.
 
