@@ -116,6 +116,7 @@ def _editor():
 
 
 EDITOR = _editor()
+FURNITURE = repair.Furniture()
 
 
 def test_held_out_misreads():
@@ -123,7 +124,7 @@ def test_held_out_misreads():
     for w in list(EDITOR.lex)[::2]:
         if "-" in w:
             continue
-        seen = EDITOR._spoil(w, rng)
+        seen = (EDITOR._spoil(w, rng) or ("", None))[0]
         if seen and seen not in EDITOR.lex and not seen.isdigit():
             n += 1
             right += EDITOR.fix(seen) == w
@@ -151,10 +152,10 @@ def test_furniture_and_paragraphs():
     texts[11] = "stream of the crossing"
     texts += [None, "   "]
     pages += [3, None]
-    found, text = repair.repair(texts, pages, EDITOR)
+    found, text = repair.repair(texts, pages, EDITOR, FURNITURE)
     assert {i for i, k in found if k == "running_header"} == {0, 5, 10} and {i for i, k in found if k == "page_number"} == {4, 9, 14}
     assert "Northern" not in text and "- 4 -" not in text
-    assert repair.repair([], [], EDITOR) == ([], "") and repair.repair([None, ""], [None, 1], EDITOR) == ([], "")
+    assert repair.repair([], [], EDITOR, FURNITURE) == ([], "") and repair.repair([None, ""], [None, 1], EDITOR, FURNITURE) == ([], "")
 
 
 def test_found_on_tables(spark):
@@ -169,9 +170,36 @@ def test_found_on_tables(spark):
     assert got == {("b", 0, "hyphenation"), ("b", 0, "misread")}
     texts = {r.doc_id: r.text for r in repair.repaired(gz, meta).collect()}
     assert texts["b"] == "The construction of the pipeline near the water crossing"
+    # More decisions than are broadcast: the same rows by a join.
+    assert {(r.doc_id, r.text_ix, r.kind) for r in repair.found(gz, meta, most_fixes=0).collect()} == got
+    assert repair.repaired(gz, meta, most_fixes=0).where("doc_id = 'b'").first().text == texts["b"]
     assert repair.found(gz.limit(0), meta.limit(0)).count() == 0
 
 
+def test_the_same_texts_more_often_give_the_same_decisions():
+    rng, seen = random.Random(3), {}
+    for w in list(EDITOR.lex)[:150]:
+        spoiled = EDITOR._spoil(w, rng)
+        if spoiled and spoiled[0] not in EDITOR.lex:
+            seen[spoiled[0]] = (0, rng.choice((1, 2)))
+    small = EDITOR.lex | seen
+    decided = []
+    for times in (1, 10, 100):
+        e = repair.Editor({w: (c * times, n * times) for w, (c, n) in small.items()})
+        decided.append({w: e.fix(w) for w in small})
+    assert decided[0] == decided[1] == decided[2]
+    assert sum(decided[0][w] != w for w in seen) > 0.85 * len(seen)
+
+
+def test_edits_off_the_list():
+    assert EDITOR.fix("constrxction") == "construction" and EDITOR.fix("enviroment") == "environment" and EDITOR.fix("piipeline") == "pipeline"
+
+
+def test_short_filings_have_furniture_too():
+    got = FURNITURE(["Interim Statement", "The well was tested.", "Page 4", "Interim Statement", "It was dry.", "Page 5"], [1, 1, 1, 2, 2, 2])
+    assert got == {0: "running_header", 2: "page_number", 3: "running_header", 5: "page_number"}
+
+
 # ------------------------------------------------------------------ packing and mixing
 
 
