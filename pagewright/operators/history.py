@@ -5,6 +5,9 @@ branches, branches into a root. A node whose digest equals the one of its previo
 holds the same rows with the same values, so nothing under it can open a version. Roots and
 branches are compared first, their unchanged rows are gone before the shuffle by leaf; leaves
 are compared next, and only rows of changed leaves are diffed and appended as versions.
+
+Rows travel as hashes of their normalised values; the values themselves come along only where
+the result shows them.
 """
 
 from __future__ import annotations
@@ -13,17 +16,19 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pagewright.functions.text import blank_to_null, folded
-from pagewright.session import cut
+from pagewright.session import cut, width
 
 LEAF_BITS = 20
 BRANCH_BITS = 8
 
 
-def _latest_delivery(rows: DataFrame, key: str, snapshot: str, loaded: str, tiebreak: str, attrs: list[str]) -> DataFrame:
+def _latest_delivery(rows: DataFrame, key: str, snapshot: str, loaded: str, tiebreak: str, attrs: list[str], values: bool) -> DataFrame:
+    """One row per key and snapshot; combined before the shuffle, so a row delivered very often is no hot key."""
     keep = rows.where(F.col(key).isNotNull() & F.col(snapshot).isNotNull())
-    norm = [blank_to_null(c).alias(f"_n{i}") for i, c in enumerate(folded(*attrs))]
-    keep = keep.select(F.col(key).alias("_key"), F.col(snapshot).alias("_snap"), F.col(loaded).alias("_loaded"), F.col(tiebreak).alias("_tie"), *[F.col(a).alias(f"_v{i}") for i, a in enumerate(attrs)], *norm)
-    names = [f"{p}{i}" for p in ("_n", "_v") for i in range(len(attrs))]
+    norm = [F.when(blank_to_null(c).isNotNull(), F.xxhash64(c)).alias(f"_n{i}") for i, c in enumerate(folded(*attrs))]
+    shown = [F.col(a).alias(f"_v{i}") for i, a in enumerate(attrs) if values]
+    keep = keep.select(F.col(key).alias("_key"), F.col(snapshot).alias("_snap"), F.col(loaded).alias("_loaded"), F.col(tiebreak).alias("_tie"), *shown, *norm)
+    names = [f"{p}{i}" for p in ("_n", *(["_v"] if values else [])) for i in range(len(attrs))]
     return (
         keep.groupBy("_key", "_snap")
         .agg(F.max_by(F.struct(*names), F.struct("_loaded", "_tie")).alias("_r"))
@@ -31,11 +36,6 @@ def _latest_delivery(rows: DataFrame, key: str, snapshot: str, loaded: str, tieb
     )
 
 
-def _digest() -> list:
-    """Order-free 128-bit digest of a node plus its row count."""
-    return [F.sum("_h1").alias("_d1"), F.sum("_h2").alias("_d2"), F.sum("_c").alias("_dc")]
-
-
 def _changed(nodes: DataFrame, *by: str) -> DataFrame:
     """Nodes whose digest differs from their previous delivery, or that have none."""
     w = Window.partitionBy(*by).orderBy("_snap") if by else Window.orderBy("_snap")
@@ -45,7 +45,7 @@ def _changed(nodes: DataFrame, *by: str) -> DataFrame:
 
 def history(
     rows: DataFrame, key: str, snapshot: str, attrs: list[str], loaded: str, tiebreak: str,
-    leaf_bits: int = LEAF_BITS, branch_bits: int = BRANCH_BITS,
+    leaf_bits: int = LEAF_BITS, branch_bits: int = BRANCH_BITS, values: bool = True,
 ) -> DataFrame:
     """All versions of ``attrs`` per ``key``: (key, from_snapshot, to_snapshot, attrs...).
 
@@ -54,26 +54,25 @@ def history(
     case and Unicode composition are no change, a snapshot without the key changes nothing.
     Values are shown as spelled where they came up. ``to_snapshot`` is null for the open version. Rows with a null key or snapshot belong to no
     item and give nothing; an empty table gives no row; extra columns are ignored.
-    ``leaf_bits`` should put a handful of keys into a leaf.
+    ``leaf_bits`` should put a handful of keys into a leaf. Without ``values`` only the periods come out.
     """
     n = len(attrs)
-    normal = [f"_n{i}" for i in range(n)]
+    normal, shown = [f"_n{i}" for i in range(n)], [f"_v{i}" for i in range(n) if values]
     signed = (
-        _latest_delivery(rows, key, snapshot, loaded, tiebreak, attrs)
+        _latest_delivery(rows, key, snapshot, loaded, tiebreak, attrs, values)
         .withColumn("_leaf", F.pmod(F.xxhash64("_key"), F.lit(1 << leaf_bits)))
         .withColumn("_branch", F.shiftright("_leaf", leaf_bits - branch_bits))
-        # Fields are hashed with their place, as a null leaves a hash unchanged. Half the range keeps the sums from overflowing.
-        .withColumn("_text", F.to_json(F.struct("_key", *normal)))
-        .withColumn("_h1", F.shiftright(F.xxhash64("_text"), 24))
-        .withColumn("_h2", F.shiftright(F.xxhash64("_text", F.lit(7)), 24))
-        .drop("_text")
     )
     signed = cut(signed)  # the trees and the rows under them are read from it, which would otherwise mean a second scan and shuffle
+    # Fields are hashed with their place, as a null leaves a hash unchanged. Half the range keeps the sums from overflowing.
+    fields = F.array(*[F.coalesce(F.col(c), F.lit(0)) for c in normal])
+    signed = signed.withColumn("_h1", F.shiftright(F.xxhash64("_key", fields), 24)).withColumn("_h2", F.shiftright(F.xxhash64("_key", fields, F.lit(7)), 24))
     branches = signed.groupBy("_snap", "_branch").agg(F.sum("_h1").alias("_d1"), F.sum("_h2").alias("_d2"), F.count(F.lit(1)).alias("_dc"))
     roots = branches.groupBy("_snap").agg(F.sum("_d1").alias("_d1"), F.sum("_d2").alias("_d2"), F.sum("_dc").alias("_dc"))
     open_roots = _changed(roots).select("_snap")
     open_branches = _changed(branches, "_branch").select("_snap", "_branch").join(open_roots, "_snap", "left_semi")
-    below = signed.join(open_branches, ["_snap", "_branch"], "left_semi")
+    # At most 2 ** branch_bits nodes a snapshot, whatever the data.
+    below = signed.join(F.broadcast(open_branches), ["_snap", "_branch"], "left_semi").repartition(width(rows.sparkSession), "_leaf")
 
     in_node = Window.partitionBy("_leaf", "_snap")
     earlier = Window.partitionBy("_leaf").orderBy("_snap").rangeBetween(Window.unboundedPreceding, -1)
@@ -84,17 +83,17 @@ def history(
     item = Window.partitionBy("_leaf", "_key").orderBy("_snap")
     so_far = item.rowsBetween(Window.unboundedPreceding, 0)
     until = item.rowsBetween(Window.unboundedPreceding, -1)
-    changed = changed.select("_leaf", "_key", "_snap", *normal, *[f"_v{i}" for i in range(n)], *[F.last(f"_n{i}", ignorenulls=True).over(until).alias(f"_p{i}") for i in range(n)])
+    changed = changed.select("_leaf", "_key", "_snap", *normal, *shown, *[F.last(f"_n{i}", ignorenulls=True).over(until).alias(f"_p{i}") for i in range(n)])
     # A value is shown as spelled where it came up, which no pruned row can be.
     fresh = lambda i: F.col(f"_n{i}").isNotNull() & ~F.col(f"_n{i}").eqNullSafe(F.col(f"_p{i}"))
     known = changed.select(
         "_leaf", "_key", "_snap",
         *[F.last(f"_n{i}", ignorenulls=True).over(so_far).alias(f"_n{i}") for i in range(n)],
-        *[F.last(F.when(fresh(i), F.col(f"_v{i}")), ignorenulls=True).over(so_far).alias(f"_v{i}") for i in range(n)],
+        *[F.last(F.when(fresh(i), F.col(v)), ignorenulls=True).over(so_far).alias(v) for i, v in enumerate(shown)],
     )
     now = F.struct(*normal)
     versions = known.withColumn("_now", now).withColumn("_before", F.lag("_now").over(item)).where(~F.col("_now").eqNullSafe(F.col("_before")))
     return versions.select(
         F.col("_key").alias(key), F.col("_snap").alias("from_snapshot"), F.lead("_snap").over(item).alias("to_snapshot"),
-        *[F.col(f"_v{i}").alias(a) for i, a in enumerate(attrs)],
+        *[F.col(v).alias(a) for v, a in zip(shown, attrs)],
     )
