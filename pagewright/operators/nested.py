@@ -2,9 +2,10 @@
 
 The schema is read as a graph. A singleton struct is inlined into its parent, unless it owns
 repeated children, which then need a row to name. Repeated elements (arrays and maps) become
-relations. A struct type reached from several parents is shared: its relations carry the same
-columns and are unioned into one table with the parent's relation as discriminator. Recursive
-types cannot occur in a Spark schema; JSON text is parsed into a fixed schema first.
+relations. An element type reached from several parents is shared: ``shared`` finds such types
+by comparing them, and their relations form one table whose rows name the parent's relation and
+the element they came as. Recursive types cannot occur in a Spark schema; JSON text is parsed
+into a fixed schema first.
 
 Every child row names itself and its parent by the path of positions from the record.
 """
@@ -73,6 +74,20 @@ def schema_graph(t: T.DataType, root: str, names: dict[str, str] | None = None,
     return top
 
 
+def shared(graph: Relation) -> dict[str, list[Relation]]:
+    """table -> relations, for every table: elements of one struct type, whatever their parents, share the first's table.
+
+    Types are equal if their fields have the same names and types in the same order.
+    """
+    tables: dict[str, list[Relation]] = {}
+    by_type: dict[str, str] = {}
+    for rel in graph.walk():
+        kind = rel.type.simpleString() if isinstance(rel.type, T.StructType) and rel.kind != "struct" else f"{rel.name}:"
+        name = by_type.setdefault(kind, rel.name)
+        tables.setdefault(name, []).append(rel)
+    return tables
+
+
 def _get(v: Column, step: tuple[str, ...]) -> Column:
     for s in step:
         v = v[s]
@@ -130,10 +145,17 @@ def relation(df: DataFrame, key: str, graph: Relation, name: str) -> DataFrame:
     Relations of the same name under several parents are unioned. The scan reads only the
     columns of this relation. Own columns that would clash with a key get a trailing underscore.
     """
+    return _typed(df, key, graph, [rel for rel in graph.walk() if rel.name == name], False)
+
+
+def relation_table(df: DataFrame, key: str, graph: Relation, name: str) -> DataFrame:
+    """One table of ``shared``: (rec_id, node, path, parent_node, parent, own columns...), all relations of its type."""
+    return _typed(df, key, graph, shared(graph).get(name, []), True)
+
+
+def _typed(df: DataFrame, key: str, graph: Relation, relations: list[Relation], named: bool) -> DataFrame:
     out = None
-    for rel in graph.walk():
-        if rel.name != name:
-            continue
+    for rel in relations:
         chain, r = [], rel
         while r is not None:
             chain.insert(0, r)
@@ -147,10 +169,10 @@ def relation(df: DataFrame, key: str, graph: Relation, name: str) -> DataFrame:
             gen = F.posexplode(got).alias("i", "x") if r.kind == "array" else F.explode(got).alias("i", "x")
             cur = cur.select("rec_id", "path", gen).where(F.col("x").isNotNull())
             cur = cur.select("rec_id", F.col("x").alias("v"), F.concat_ws(".", "path", F.col("i").cast("string")).alias("path"), F.col("path").alias("parent"))
-        taken = {"rec_id", "path", "parent", "parent_node"}
+        taken = {"rec_id", "path", "parent", "parent_node", "node"}
         own = [c.alias(n + "_" if n in taken else n) for n, c in _inlined(rel.type, F.col("v"))]
-        part = cur.select("rec_id", "path", F.lit(rel.parent.name if rel.parent else None).cast("string").alias("parent_node"), "parent", *own)
+        part = cur.select("rec_id", *([F.lit(rel.name).alias("node")] if named else []), "path", F.lit(rel.parent.name if rel.parent else None).cast("string").alias("parent_node"), "parent", *own)
         out = part if out is None else out.unionByName(part, allowMissingColumns=True)
     if out is None:
-        raise ValueError(f"no relation {name}")
+        raise ValueError("no such relation")
     return out

@@ -41,22 +41,41 @@ def p1_conflicts(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p1_words(spark: SparkSession, d: str) -> DataFrame:
-    """The shared word table: words of pages and of contents with their parents."""
+    """The shared table of words: elements of one type, under pages and under contents."""
     az = reference_records(once(table(spark, d, "azure_gz").select("az_id", "contents", "contents_raw"), "az_id"))
-    g = reference_graph(az)
-    return nested.relation(az, "az_id", g, "word").unionByName(nested.relation(az, "az_id", g, "content_word"))
+    return nested.relation_table(az, "az_id", reference_graph(az), "word")
+
+
+def _typed(name: str, source: str):
+    def query(spark: SparkSession, d: str) -> DataFrame:
+        if source == "azure_gz":
+            az = reference_records(once(table(spark, d, "azure_gz").select("az_id", "contents", "contents_raw"), "az_id"))
+            return nested.relation(az, "az_id", reference_graph(az), name)
+        dm = once(table(spark, d, "docling_meta").select("meta_id", "pages"), "meta_id")
+        return nested.relation(dm, "meta_id", meta_graph(dm), name)
+
+    query.__name__ = f"p1_table_{name}"
+    return query
+
+
+# One typed table for every other relation of the two records.
+P1_TABLES = [_typed(n, "azure_gz") for n in ("content", "page", "paragraph", "section", "table", "cell", "figure", "line")] + [_typed(n, "docling_meta") for n in ("agreement", "per_variant", "excluded", "other_count")]
 
 
 ATTRS = ["company", "project", "filing_number", "name"]
 
 
-def p4_history(spark: SparkSession, d: str) -> DataFrame:
+def _versions(spark: SparkSession, d: str, values: bool) -> DataFrame:
     rows = table(spark, d, "catalogue_row").select("document_id", "crawl_no", "loaded_at", "row_id", *ATTRS)
-    return history.history(rows, "document_id", "crawl_no", ATTRS, "loaded_at", "row_id")
+    return history.history(rows, "document_id", "crawl_no", ATTRS, "loaded_at", "row_id", values=values)
+
+
+def p4_history(spark: SparkSession, d: str) -> DataFrame:
+    return _versions(spark, d, True)
 
 
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
-    return p4_history(spark, d).select("document_id", F.col("from_snapshot").alias("from_crawl"), F.coalesce("to_snapshot", F.lit(0)).alias("to_crawl"))
+    return _versions(spark, d, False).select("document_id", F.col("from_snapshot").alias("from_crawl"), F.coalesce("to_snapshot", F.lit(0)).alias("to_crawl"))
 
 
 def _digits(c: str):
@@ -89,7 +108,7 @@ def p5_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {q.__name__: q for q in (p1_found, p1_conflicts, p1_words, p4_found, p4_history, p5_found, p5_report)}
+    return {q.__name__: q for q in (p1_found, p1_conflicts, p1_words, *P1_TABLES, p4_found, p4_history, p5_found, p5_report)}
 
 
 _CHILDREN = [("pages", "page"), ("paragraphs", "paragraph"), ("sections", "section"), ("tables", "table"), ("figures", "figure"), ("lines", "line"), ("words", "content_word")]
@@ -156,5 +175,43 @@ cf AS (SELECT meta_id, i, k - 1 AS k, l[k] AS c FROM (SELECT *, unnest(range(1,
 SELECT meta_id AS rec_id, i::VARCHAR || '.' || k::VARCHAR AS path, 'agreement' AS parent_node, i::VARCHAR AS parent, c.token AS token, c.winner_count AS winner_count, c.kind AS kind, c.direction AS direction FROM cf"""
 
 
+_HEAD_SQL = P1_SQL[: P1_SQL.index("SELECT 'azure_gz' AS src")]
+_TEXT = "json_extract_string(x, '$.{0}')".format
+_NUMBER = "TRY_CAST(json_extract_string(x, '$.{0}') AS {1})".format
+# Words and lines may be bare strings.
+_WORD = "CASE WHEN json_type(x) = 'OBJECT' THEN json_extract_string(x, '$.content') ELSE json_extract_string(x, '$') END AS content"
+_PARENT = "regexp_replace(path, '[.][^.]*$', '')"
+P1_WORDS_SQL = _HEAD_SQL + f"""SELECT az_id AS rec_id, node, path, CASE node WHEN 'word' THEN 'page' ELSE 'content' END AS parent_node, {_PARENT} AS parent, {_WORD}, CASE WHEN json_type(x) = 'OBJECT' THEN {_NUMBER('confidence', 'DOUBLE')} END AS confidence
+FROM (SELECT az_id, node, path, x FROM child WHERE node = 'content_word' UNION ALL SELECT az_id, node, path, x FROM grandchild WHERE node = 'word')"""
+
+
+def _table_sql(source: str, parent: str, columns: str) -> str:
+    return _HEAD_SQL + f"SELECT az_id AS rec_id, path, {parent} AS parent_node, {_PARENT if parent != 'NULL' else 'NULL'} AS parent, {columns} FROM {source}"
+
+
+_CHILD = "(SELECT * FROM child WHERE node = '{0}')".format
+_AGREEMENT = ["text_min", "numeric_min", "numeric_exact_agree", "numeric_token_differences", "numeric_count_differences", "verdict", "numeric_conflicts_truncated", "compared_against"]
+
+
+def _map_sql(name: str, columns: str) -> str:
+    return _HEAD_SQL + f"SELECT meta_id AS rec_id, i::VARCHAR || '.' || e.key AS path, 'agreement' AS parent_node, i::VARCHAR AS parent, {columns} FROM (SELECT meta_id, i, unnest(map_entries(a.{name})) AS e FROM ag) WHERE e.value IS NOT NULL"
+
+
+P1_TABLE_SQL = {
+    "p1_table_content": _table_sql("content", "NULL", f"{_TEXT('markdown')} AS markdown, {_NUMBER('endPageNumber', 'INT')} AS endPageNumber"),
+    "p1_table_page": _table_sql(_CHILD("page"), "'content'", f"{_NUMBER('pageNumber', 'INT')} AS pageNumber"),
+    "p1_table_paragraph": _table_sql(_CHILD("paragraph"), "'content'", f"{_TEXT('role')} AS role, {_TEXT('content')} AS content"),
+    "p1_table_section": _table_sql(_CHILD("section"), "'content'", "CAST(json_extract(x, '$.elements') AS VARCHAR[]) AS elements"),
+    "p1_table_table": _table_sql(_CHILD("table"), "'content'", f"{_NUMBER('rowCount', 'INT')} AS rowCount, {_NUMBER('columnCount', 'INT')} AS columnCount"),
+    "p1_table_cell": _table_sql("(SELECT * FROM grandchild WHERE node = 'cell')", "'table'", f"{_TEXT('kind')} AS kind, {_NUMBER('rowIndex', 'INT')} AS rowIndex, {_NUMBER('columnIndex', 'INT')} AS columnIndex, {_TEXT('content')} AS content"),
+    "p1_table_figure": _table_sql(_CHILD("figure"), "'content'", f"{_TEXT('id')} AS id, {_TEXT('caption.content')} AS caption_content"),
+    "p1_table_line": _table_sql(_CHILD("line"), "'content'", _WORD),
+    "p1_table_agreement": _HEAD_SQL + "SELECT meta_id AS rec_id, i::VARCHAR AS path, 'page' AS parent_node, i::VARCHAR AS parent, " + ", ".join(f"a.{c} AS {c}" for c in _AGREEMENT) + " FROM ag",
+    "p1_table_per_variant": _map_sql("per_variant", "e.value.text AS text, e.value.numeric AS numeric"),
+    "p1_table_excluded": _map_sql("excluded", "e.value.chars AS chars, e.value.alnum_ratio AS alnum_ratio, e.value.reason AS reason"),
+    "p1_table_other_count": _HEAD_SQL + "SELECT meta_id AS rec_id, i::VARCHAR || '.' || k::VARCHAR || '.' || e.key AS path, 'conflict' AS parent_node, i::VARCHAR || '.' || k::VARCHAR AS parent, e.value AS value FROM (SELECT meta_id, i, k, unnest(map_entries(c.other_counts)) AS e FROM cf) WHERE e.value IS NOT NULL",
+}
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"p1_found": P1_SQL, "p1_conflicts": P1_CONFLICTS_SQL, "p4_found": P4_SQL, "p4_history": P4_HISTORY_SQL, "p5_found": P5_SQL, "p5_report": P5_REPORT_SQL}
+    return {"p1_found": P1_SQL, "p1_conflicts": P1_CONFLICTS_SQL, "p1_words": P1_WORDS_SQL, **P1_TABLE_SQL, "p4_found": P4_SQL, "p4_history": P4_HISTORY_SQL, "p5_found": P5_SQL, "p5_report": P5_REPORT_SQL}

@@ -112,3 +112,12 @@ def test_one_empty_side(spark):
     a = spark.createDataFrame([("1", 1), ("2", None)], "key string, p int")
     assert {(r.key, r.kind) for r in compare.differences(a, a.limit(0), ["p"]).collect()} == {("1", "missing_there"), ("2", "missing_there")}
     assert compare.differences(a, a, ["p"]).count() == 0
+
+
+def test_elements_of_one_type_share_a_table(spark):
+    rows = [(1, [{"pages": [{"words": [{"content": "p", "confidence": 0.5}, None]}], "words": [{"content": "c", "confidence": None}], "lines": [{"content": "l"}]}])]
+    df = spark.createDataFrame(rows, "az_id long, contents array<struct<pages:array<struct<words:array<struct<content:string,confidence:double>>>>,words:array<struct<content:string,confidence:double>>,lines:array<struct<content:string>>>>")
+    g = problems.reference_graph(df)
+    assert {k: [r.name for r in v] for k, v in nested.shared(g).items() if len(v) > 1} == {"word": ["word", "content_word"]}
+    got = {tuple(r) for r in nested.relation_table(df, "az_id", g, "word").select("node", "path", "parent_node", "parent", "content").collect()}
+    assert got == {("word", "0.0.0", "page", "0.0", "p"), ("content_word", "0.0", "content", "0", "c")}
