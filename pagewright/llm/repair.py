@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pagewright.session import cut, store
+from pagewright.session import cut, spread, store
 
 MIN_SHARE = 1e-6  # a word of this share of all words is one that edits may lead to, which bounds the lexicon at a million
 MAX_FIXES = 200_000  # decisions that are broadcast; more are joined to the filings that need them
@@ -727,8 +727,10 @@ def decisions(counts: DataFrame, editor: Editor) -> DataFrame:
 
 def furniture_model(rows: DataFrame, most: int = SAMPLE_FILINGS) -> Furniture:
     """Furniture trained on a bounded sample: ``most`` filings of 20 to 400 items, by the hash of their id."""
-    sample = rows.where(F.size("texts").between(20, 400)).orderBy(F.xxhash64("doc_id", "gz_id")).select("texts", "pages").limit(most).collect()
-    return Furniture([(r.texts, r.pages) for r in sample])
+    fit = rows.where(F.size("texts").between(20, 400)).withColumn("_h", F.xxhash64("doc_id", "gz_id"))
+    first = [r[0] for r in fit.select("_h").orderBy("_h").limit(most).collect()]  # the hashes alone, so no task sends texts that are not used
+    sample = fit.where(F.col("_h") <= first[-1]).select("texts", "pages", "_h").collect() if first else []
+    return Furniture([(r.texts, r.pages) for r in sorted(sample, key=lambda r: r["_h"])])
 
 
 def _per_filing(rows: DataFrame, fixes: DataFrame) -> DataFrame:
@@ -751,7 +753,7 @@ def _per_filing(rows: DataFrame, fixes: DataFrame) -> DataFrame:
 def _apply(rows: DataFrame, what: str, most: int) -> DataFrame:
     counts = cut(word_counts(rows))
     editor = Editor(lexicon(counts))
-    fixes = cut(decisions(counts, editor))
+    fixes = cut(decisions(spread(counts, "word"), editor))
     small = fixes.count() <= most
     if not small:
         rows = _per_filing(rows, fixes)
