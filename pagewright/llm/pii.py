@@ -1,8 +1,13 @@
 """Personal information in free text: found, scored and replaced by typed placeholders.
 
-Regular expressions propose spans, validators (Luhn for social insurance numbers, mod-11 for
-health numbers, mod-97 for account numbers, the numbering plan for telephones) confirm them,
-and context words before and after move the score. A span counts from ``THRESHOLD`` on.
+Regular expressions propose spans with a score below ``THRESHOLD``. Validators (Luhn for social
+insurance numbers, mod-11 for health numbers, mod-97 for account numbers, the numbering plan for
+telephones, the letters in use for postal codes) and the words before and after lift or lower it;
+a span counts from ``THRESHOLD`` on. So a labelled social insurance number whose check digit is
+wrong is none, nor is a number with a right check digit that the words before call a sample.
+
+Every expression is tried only where it can begin: the starts come from one pass over the digits
+and one pass of an Aho-Corasick automaton over the cue words, which changes no result.
 
 Runs on whole texts in Arrow batches; a text is one row, so nothing is shuffled but the input,
 which is spread because few files would otherwise mean few tasks.
@@ -13,6 +18,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 
+import ahocorasick
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -69,8 +75,10 @@ EMAIL = re.compile(
     r"[a-z0-9](?:[\w-]*\w)?(?:(?:\.|\s*[(\[{<]\s*(?:dot|point|\.)\s*[)\]}>]\s*|\s+(?-i:dot|point|DOT|POINT)\s+)[a-z0-9](?:[\w-]*\w)?)+",
     re.I,
 )
-BRACKET_AT = re.compile(r"[(\[{<]\s*(?:at|arobase|à|@)\s*[)\]}>]", re.I)
+BRACKET_AT = re.compile(r"[(\[{<]\s*(?:at|arobase|à)\s*[)\]}>]", re.I)
 SPACED_DOT = re.compile(r"\s(?:dot|point|DOT|POINT)\s")
+SPACED_AT = re.compile(r"\s(?:at|arobase)\s+[\w-]+\s+(?-i:dot|point|DOT|POINT)\s", re.I)
+LOCAL = re.compile(rf"[\w.+%{DASH}]")
 _D = "[0-9OolI]"
 PHONE = re.compile(
     rf"(?<![\w+.{DASH}])(?<!\d/)(?:(?:\+\s?)?1[\s.{DASH}]?)?(?:\([2-9]{_D}{{2}}\)\s?|[2-9]{_D}{{2}}[\s./{DASH}]?\s?){_D}{{3}}[\s.{DASH}]?\s?{_D}{{4}}(?![\w/+]|[{DASH}.]\d)"
@@ -122,6 +130,12 @@ ADDRESS_CODE = re.compile(rf"(?<![\w{DASH}.+/])(?:{_CIVIC}|{_BOX})\s+{_TOWN}[,\s
 POSTAL_CODE = re.compile(rf"\b{POSTAL}\b")
 ADDRESS_HINT = re.compile(r"\d|Delivery|restante")
 
+PROVINCE_IN = re.compile(rf"(?<!\w){PROVINCE}(?!\w)")
+TOWN_IN = re.compile(rf"[,\n]\s*{_TOWN}")
+LIVES = re.compile(r"(?i)\b(?:live|lives|living|reside|resides|home|house|address|mail|farm|at|from|habite|demeure|adresse|domicile|au)\b")
+OWNER = re.compile(r"(?i)\b(?:my|our|his|her|their|the form shows|mon|ma|notre|son|sa)\b")
+SIN_NAMED = re.compile(r"(?i)s\.?\s?i\.?\s?n|social|sociale|n\.?\s?a\.?\s?s")
+
 # ---------------------------------------------------------------- names
 
 _W = rf"(?:[{UP}][\w'’]*[\w](?:-[{UP}][\w'’]*)*)"
@@ -153,6 +167,7 @@ CLOSING = re.compile(
     rf"Veuillez agr[eé]er[^\n]*|Respectueusement)[,.]?[ \u00a0]*\n\s*({_LINE})[ \u00a0]*$"
 )
 HEAD = re.compile(rf"\A\s*({_LINE})[ \u00a0]*\n(?=[^\n]*(?:\d|@|\bat\b|Box|R\.R\.))")
+CAPITAL = re.compile(rf"(?<![\w-])[{UP}]")
 PLACE_BEFORE = re.compile(r"\b(?:of|at|in|near|from|to|de|du|à|par|près)\s+$")
 _SMALL = rf"[{LOW}][\w'’]*(?:-[\w'’]+)*"
 _PAIR = rf"(?:{_SMALL},[ ]+{_SMALL}|(?:{_SMALL}|[{LOW}]\.)(?:[ ][{LOW}]\.)?[ ]{_SMALL})"
@@ -177,14 +192,90 @@ COMPANY_AFTER = re.compile(
 COMPANY_BEFORE = re.compile(r"(?:\b(?:Groupe|Group|Soci[eé]t[eé]|Entreprises?|Gazoduc|Firm|Maison|Ferme|Companies)[ \u00a0]+|&[ \u00a0]+|@)$")
 
 
-def _names(text: str, taken: list[tuple[int, int]]) -> Iterator[tuple[int, int, float]]:
+# ---------------------------------------------------------------- where expressions can begin
+
+# The literal beginnings of each expression, in small letters.
+_WORDS = {
+    "titled": "mr mrs ms miss mx dr mme mlle prof rev sr me elder chief councillor madame monsieur docteur maître maitre".split(),
+    "fr_m": ["m."],
+    "list": ["present", "attend", "in attendance", "submitted by", "contact", "copy to", "copies to", "prepared by", "written by", "from", "name", "witness", "author", "cc", "participant", "présent", "présence", "copie", "personne", "soumis par", "prépar", "prepar", "témoin", "temoin", "nom"],
+    "by": ["according to", "selon", "d'après", "signed by", "signé", "signe", "written by", "prepared by", "écrit", "ecrit", "spoke", "talked", "speak with", "parlé", "parle", "avec", "my ", "mon ", "ma ", "je m"],
+    "small_by": ["signed by", "signé", "signe", "parlé de", "parle de", "my late"],
+    "small_does": ["on ", "according to", "selon"],
+    "does": ["'s", "’s", "(landowner)", "(resident)", "(intervenor)", "(propri", "(résident", "(resident", "(tenant)", "(owner)", "told", "asked", "walked", "said", "wrote", "testified", "stated that", "a dit", "a demand", "nous a", "a écrit", "a ecrit"],
+    "address": ["unit", "suite", "ste", "apt", "apartment", "app", "bureau", "room", "floor", "#", "p.", "po", "p o", "box", "c.", "cp", "case postale", "r.", "rr", "r r", "general delivery", "poste restante"],
+}
+
+
+def _automaton() -> ahocorasick.Automaton:
+    by: dict[str, set[str]] = {}
+    for name, words in _WORDS.items():
+        for w in words:
+            by.setdefault(w, set()).add(name)
+    a = ahocorasick.Automaton()
+    for w, names in by.items():
+        a.add_word(w, (len(w), tuple(sorted(names))))
+    a.make_automaton()
+    return a
+
+
+CUES = _automaton()
+DIGIT = re.compile(r"\d+")
+
+
+def _starts(text: str) -> dict[str, list[int]] | None:
+    """Places where each kind of expression can begin, in order. None if small letters would shift places."""
+    low = text.lower()
+    if len(low) != len(text):
+        return None
+    out: dict[str, list[int]] = {name: [] for name in _WORDS}
+    for end, (n, names) in CUES.iter(low):
+        at = end - n + 1
+        for name in names:
+            out[name].append(at)
+    return out
+
+
+def _at(pattern: re.Pattern, text: str, starts: list[int] | None) -> Iterator[re.Match]:
+    """What ``finditer`` gives, trying only the given places; all places if there are none given."""
+    if starts is None:
+        yield from pattern.finditer(text)
+        return
+    after = 0
+    for s in sorted(set(starts)):
+        if s >= after and (m := pattern.match(text, s)):
+            yield m
+            after = m.end()
+
+
+def _does(text: str, cues: list[int] | None) -> Iterator[re.Match]:
+    """Matches of DOES: capital letters close before a cue, as a name stands right before it."""
+    if cues is None:
+        yield from DOES.finditer(text)
+        return
+    starts: set[int] = set()
+    for c in cues:
+        # The words before the cue, line by line at most: a name has no more than a handful.
+        low = c
+        for _ in range(9):
+            low = max(text.rfind(" ", 0, max(low - 1, 0)), text.rfind("\n", 0, max(low - 1, 0)), text.rfind("\u00a0", 0, max(low - 1, 0))) + 1
+            if low <= 0:
+                break
+        starts.update(m.start() for m in CAPITAL.finditer(text, max(0, low), c))
+    yield from _at(DOES, text, list(starts))
+
+
+def _names(text: str, cues: dict[str, list[int]] | None) -> Iterator[tuple[int, int, float]]:
+    """(start, end, score): a proposal has 0.3; the words that introduce or follow it decide."""
     def ok(s: int, e: int, loose: bool = False) -> bool:
         words = re.findall(r"[^\W\d_]+", text[s:e])
         if not words or any(c.isdigit() for c in text[s:e]) or any(len(w) > 1 and w.casefold() in NOT_NAME for w in words):
             return False
-        if not loose and not any(len(w) > 1 for w in words):
-            return False
-        return not COMPANY_AFTER.match(text, e) and not COMPANY_BEFORE.search(text, max(0, s - 14), s)
+        return loose or any(len(w) > 1 for w in words)
+
+    def score(s: int, e: int, cue: float) -> float:
+        """The cue lifts a proposal; a company, place or project around it takes that back."""
+        return 0.3 + cue - 0.8 * bool(COMPANY_AFTER.match(text, e)) - 0.8 * bool(COMPANY_BEFORE.search(text, max(0, s - 14), s))
 
     def trim(s: int, e: int) -> int:
         """Give back a possessive or words that cannot end a name."""
@@ -192,7 +283,8 @@ def _names(text: str, taken: list[tuple[int, int]]) -> Iterator[tuple[int, int,
             e -= 2
         return e
 
-    for m in TITLED.finditer(text):
+    on = (lambda name: None) if cues is None else cues.get
+    for m in _at(TITLED, text, on("titled")):
         s, e = m.span(1)
         words = text[s:e].split()
         # A word of the sentence behind the surname is none of the name.
@@ -200,40 +292,51 @@ def _names(text: str, taken: list[tuple[int, int]]) -> Iterator[tuple[int, int,
             words.pop()
             e = s + len(text[s:e].rstrip().rsplit(None, 1)[0].rstrip(" ,"))
         if ok(s, trim(s, e)):
-            yield s, trim(s, e), 0.9
-    for m in FR_M.finditer(text):
+            yield s, trim(s, e), score(s, trim(s, e), 0.6)
+    for m in FR_M.finditer(text) if cues is None else filter(None, (FR_M.match(text, at) for c in on("fr_m") if (at := _word_before(text, c)) is not None)):
         if ok(*m.span(1)):
-            yield *m.span(1), 0.85
-    for m in LIST.finditer(text):
+            yield *m.span(1), score(*m.span(1), 0.55)
+    for m in _at(LIST, text, on("list")):
         at = m.end()
         while True:
             i = LIST_ITEM.match(text, at) or SMALL_ITEM.match(text, at)
-            if not i or not ok(*i.span(1)):
+            if not i or not ok(*i.span(1)) or score(*i.span(1), 0.5) < THRESHOLD:
                 break
-            yield *i.span(1), 0.8
+            yield *i.span(1), score(*i.span(1), 0.5)
             at = i.end()
             if not i.group(2):
                 break
-    for m in BY.finditer(text):
+    for m in _at(BY, text, on("by")):
         if ok(*m.span(1)):
-            yield m.start(1), trim(*m.span(1)), 0.8
-    for m in DOES.finditer(text):
+            yield m.start(1), trim(*m.span(1)), score(*m.span(1), 0.5)
+    for m in _does(text, on("does")):
         s, e = m.start(1), trim(*m.span(1))
         first = re.match(r"(\w+)\s+(?=\w+\W+\w)", text[s:e])
         if first and first[1].casefold() in NOT_NAME:  # a weekday before the name
             s += first.end()
-        if not PLACE_BEFORE.search(text, max(0, s - 12), s) and ok(s, e):
-            yield s, e, 0.75
-    for pattern in (SMALL_BY, SMALL_DOES):
-        for m in pattern.finditer(text):
+        if ok(s, e):
+            yield s, e, score(s, e, 0.45 - 0.6 * bool(PLACE_BEFORE.search(text, max(0, s - 12), s)))
+    for pattern, name in ((SMALL_BY, "small_by"), (SMALL_DOES, "small_does")):
+        for m in _at(pattern, text, on(name)):
             if ok(*m.span(1)):
-                yield *m.span(1), 0.7
+                yield *m.span(1), score(*m.span(1), 0.4)
     for m in CLOSING.finditer(text):
         if ok(*m.span(1), loose=True):
-            yield *m.span(1), 0.9
+            yield *m.span(1), score(*m.span(1), 0.6)
     m = HEAD.match(text)
     if m and ok(*m.span(1)):
-        yield *m.span(1), 0.7
+        yield *m.span(1), score(*m.span(1), 0.4)
+
+
+def _word_before(text: str, at: int) -> int | None:
+    """Start of the word that stands before white space before ``at``."""
+    e = at
+    while e and text[e - 1].isspace():
+        e -= 1
+    s = e
+    while s and (text[s - 1].isalnum() or text[s - 1] in "_'’"):
+        s -= 1
+    return s if s < e < at else None
 
 
 # ---------------------------------------------------------------- scoring
@@ -241,38 +344,96 @@ def _names(text: str, taken: list[tuple[int, int]]) -> Iterator[tuple[int, int,
 _ZERO = str.maketrans("OolI", "0011")
 
 
+# Capital letters and misread digits an identity number can begin with.
+_ID_STARTS = "ABCDEFGHIJKLMNOPQRSTUVWXYZl"
+
+
+def _shifted(text: str, digits_at: list[int], first: str) -> list[int]:
+    """The digits' places and those up to six characters before that begin with one of ``first``, as a sign or letters may stand before the digits."""
+    out = set(digits_at)
+    for d in digits_at:
+        for s in range(max(0, d - 6), d):
+            if text[s] in first:
+                out.add(s)
+    return sorted(out)
+
+
+def _emails(text: str) -> Iterator[re.Match]:
+    """Matches of EMAIL, tried from the word before each at-sign or what stands for one."""
+    marks, at = [], text.find("@")
+    while at >= 0:
+        marks.append(at)
+        at = text.find("@", at + 1)
+    marks += [m.start() for m in BRACKET_AT.finditer(text)]
+    if SPACED_DOT.search(text):
+        marks += [m.start() for m in SPACED_AT.finditer(text)]
+    starts = []
+    for e in marks:
+        while e > 0 and (text[e - 1].isspace() or text[e - 1] in "([{<"):
+            e -= 1
+        s = e
+        while s > 0 and LOCAL.match(text, s - 1):
+            s -= 1
+        while s < e and not text[s].isalnum() and text[s] != "_":
+            s += 1
+        starts.append(s)
+    return _at(EMAIL, text, starts)
+
+
+def _id_score(text: str, m: re.Match) -> float:
+    """0.3 for the shape; the label before and the check digit decide, a number that is called a thing is none."""
+    digits = re.sub(r"\D", "", m[0].translate(_ZERO))
+    before = text[max(0, m.start() - 60) : m.start()]
+    label = ID_BEFORE.search(before)
+    if not label:  # the label may stand off, but then the check digit must be right
+        return 0.1 + 0.25 * luhn(digits) + 0.4 * bool(ID_LABEL.search(before)) - 0.6 * bool(THING.search(before)) if SIN_SHAPE.fullmatch(m[0]) else 0.0
+    named = ID_LABEL.search(label[0])[0].casefold()
+    own = 0.05 * bool(OWNER.search(before))
+    if "iban" in named or re.match(r"[A-Z]{2}\d{2}\s?[A-Z0-9]{4}", m[0]) and len(m[0]) > 14:
+        return 0.4 + own + (0.4 if mod97(m[0]) else -0.1)
+    if SIN_NAMED.search(named):
+        return 0.4 + own + (0.4 if len(digits) == 9 and luhn(digits) else -0.1)
+    # Passports, licences and health cards of most provinces have no public check digit; their shape counts, a right one adds.
+    return 0.55 + own + 0.3 * mod11_health(digits)
+
+
+def _address_score(text: str, m: re.Match) -> float:
+    """0.4 for the shape; a valid postal code, a province, a box, and words of dwelling or mail around lift it, a number of a thing lowers it."""
+    code = POSTAL_CODE.search(m[0])
+    valid = bool(code and not set(code[0]) & set("DFIOQU") and code[0][0] not in "WZ")
+    score = 0.4 + (0.3 if valid else -0.1 if code else 0.0) + 0.2 * bool(PROVINCE_IN.search(m[0])) + 0.1 * bool(TOWN_IN.search(m[0])) + 0.1 * bool(LIVES.search(text, max(0, m.start() - 60), m.start()))
+    return score - 0.5 * bool(THING.search(text[max(0, m.start() - 40) : m.start()]))
+
+
 def find(text: str | None) -> list[tuple[str, int, int, float]]:
     """(kind, start, end, score) of every place, in order, without overlaps. Null and empty give none."""
     if not text:
         return []
     spans: list[tuple[str, int, int, float]] = []
-    if "@" in text or SPACED_DOT.search(text) or BRACKET_AT.search(text):
-        for m in EMAIL.finditer(text):
-            spans.append(("email", *m.span(), 0.95))
-    for m in PHONE.finditer(text):
-        digits = re.sub(r"\D", "", m[0].translate(_ZERO))[-10:]
-        before = text[max(0, m.start() - 40) : m.start()]
-        score = 0.4 + 0.2 * dialable(digits) + 0.1 * (m[0][0] in "+(" or not m[0].isdigit())
-        score += 0.3 * bool(PHONE_LABEL.search(before)) - 0.6 * bool(THING.search(before)) - 0.5 * (not dialable(digits)) - 0.5 * bool(ID_LABEL.search(before[-26:]))
-        if sum(c in "OolI" for c in m[0]) > 2:
-            score -= 0.5
-        spans.append(("phone", *m.span(), score))
-    for m in ID_VALUE.finditer(text):
-        if ID_BEFORE.search(text[max(0, m.start() - 60) : m.start()]):
-            digits = re.sub(r"\D", "", m[0])
-            score = 0.6 + 0.2 * (len(digits) == 9 and luhn(digits)) + 0.2 * mod11_health(digits) + 0.2 * mod97(m[0])
-            spans.append(("id_number", *m.span(), score))
-    for m in SIN_SHAPE.finditer(text):
-        digits = re.sub(r"\D", "", m[0])
-        near = text[max(0, m.start() - 60) : m.start()]
-        score = 0.1 + 0.25 * luhn(digits) + 0.4 * bool(ID_LABEL.search(near)) - 0.6 * bool(THING.search(near))
-        spans.append(("id_number", *m.span(), score))
-    if ADDRESS_HINT.search(text):
+    cues = _starts(text)
+    for m in _emails(text):
+        # A plain at-sign is proof; a disguise is believed for the domain that is spelled out behind it.
+        spans.append(("email", *m.span(), 0.4 + 0.55 * bool("@" in m[0] or re.search(r"\W(?:dot|point)\W|\.", m[0], re.I))))
+    digits_at = [m.start() for m in DIGIT.finditer(text)]
+    if digits_at:
+        for m in _at(PHONE, text, _shifted(text, digits_at, "+(")):
+            digits = re.sub(r"\D", "", m[0].translate(_ZERO))[-10:]
+            before = text[max(0, m.start() - 40) : m.start()]
+            score = 0.3 + (0.3 if dialable(digits) else -0.4) + 0.1 * (m[0][0] in "+(" or not m[0].isdigit())
+            score += 0.3 * bool(PHONE_LABEL.search(before)) - 0.6 * bool(THING.search(before)) - 0.5 * bool(ID_LABEL.search(before[-26:]))
+            if sum(c in "OolI" for c in m[0]) > 2:
+                score -= 0.5
+            spans.append(("phone", *m.span(), round(score, 4)))
+        for m in _at(ID_VALUE, text, _shifted(text, digits_at, _ID_STARTS)):
+            spans.append(("id_number", *m.span(), _id_score(text, m)))
+        for m in _at(SIN_SHAPE, text, digits_at):
+            spans.append(("id_number", *m.span(), _id_score(text, m)))
+    if digits_at or ADDRESS_HINT.search(text):
+        starts = None if cues is None else digits_at + cues["address"]
         for pattern in (ADDRESS, ADDRESS_CODE) if POSTAL_CODE.search(text) else (ADDRESS,):
-            for m in pattern.finditer(text):
-                spans.append(("address", *m.span(), 0.7))
-    taken = [(s, e) for _, s, e, score in spans if score >= THRESHOLD]
-    spans += [("name", s, e, score) for s, e, score in _names(text, taken)]
+            for m in _at(pattern, text, starts):
+                spans.append(("address", *m.span(), _address_score(text, m)))
+    spans += [("name", s, e, score) for s, e, score in _names(text, cues)]
     best: list[tuple[str, int, int, float]] = []
     for x in sorted((x for x in spans if x[3] >= THRESHOLD), key=lambda x: (-x[3], x[1] - x[2], x[1])):
         if all(x[2] <= y[1] or x[1] >= y[2] for y in best):
