@@ -23,8 +23,9 @@ from pagewright.session import cut, once
 LANGS = ("en", "fr", "es", "de", "pt")
 SAMPLE_CHARS = 20_000  # bound of the labelled sample per language
 SAMPLE_ITEMS = 400  # items drawn per language to fill it
-MIN_CHARS = 24  # shorter pieces say nothing about a language
+SHORT = 24  # characters under which a piece says little: it follows its neighbours unless its margin is wide
 MARGIN = 0.04  # a foreign sentence must beat the filing's language by this share
+SHORT_MARGIN = 0.3  # and a short one by this
 
 # Labels in use for each language, compared in lower case without region.
 LABELS = {
@@ -63,13 +64,13 @@ def label_language(c: Column) -> Column:
 
 # ---------------------------------------------------------------- automata
 
-_SPACE = re.compile(r"\s+")
 # A letter, then a break mark at a line end, then a letter: the word continues.
 _BROKEN = re.compile(r"(?<=\w)[-‐\xad¬]\s*\n\s*(?=\w)")
 
 
 def clean(text: str) -> str:
-    return _SPACE.sub(" ", _BROKEN.sub("", unicodedata.normalize("NFC", text))).strip()
+    text = unicodedata.normalize("NFC", text)
+    return " ".join((_BROKEN.sub("", text) if "\n" in text else text).split())
 
 
 class Model:
@@ -78,7 +79,7 @@ class Model:
     def __init__(self, samples: dict[str, str]):
         self.langs = list(samples)
         texts = {k: clean(v).lower() for k, v in samples.items()}
-        letters = sorted({c for t in texts.values() for c in t if c.isalpha()})[:200]
+        letters = sorted({c for t in texts.values() for c in t if c.isalpha()})
         # Class 0 other, 1 space, 2 digit, 3 punctuation; numbers and marks are the same in all languages.
         self.classes = {c: i + 4 for i, c in enumerate(letters)}
         self.width = len(letters) + 4
@@ -142,8 +143,9 @@ class Model:
 
     def entropy(self, pieces: list[str]) -> np.ndarray:
         """Bits a character for each piece and language: phrases x log2(sample) / length."""
-        codes = [self.encode(p) for p in pieces]
-        size = np.array([len(c) for c in codes])
+        size = np.array([len(p) for p in pieces], dtype=np.int64)
+        whole, ends = self.encode("".join(pieces)), np.cumsum(size)
+        codes = [whole[e - n : e] for e, n in zip(ends, size)]
         order = np.argsort(-size, kind="stable")
         out = np.zeros((len(pieces), len(self.langs)))
         # Lanes of like length go together, so that the table of codes stays small whatever the lengths.
@@ -167,7 +169,7 @@ class Model:
 
 # ---------------------------------------------------------------- segments
 
-_END = re.compile(r"(?<=[.?!])[\"'»”)]*\s+(?=[¿¡«\"“(]*[A-ZÀ-ÖØ-ÞŒ0-9])")
+_END = re.compile(r"[.?!][\"'»”)]*\s+(?=[¿¡«\"“(]*[A-ZÀ-ÖØ-ÞŒ0-9])")
 _CONSONANTS = tuple("bcdfgkmnprstvz")
 _ABBREVIATION = re.compile(r"\b(?:Inc|Ltd|Corp|Co|Mr|Mrs|Ms|Dr|St|No|Mme|M|Sr|Sra|Nr|bzw|[A-Z])\.$")
 
@@ -175,17 +177,21 @@ _ABBREVIATION = re.compile(r"\b(?:Inc|Ltd|Corp|Co|Mr|Mrs|Ms|Dr|St|No|Mme|M|Sr|Sr
 def sentences(text: str) -> list[tuple[str, bool]]:
     """(piece, is a full sentence) of an item; lines are joined first."""
     out, held = [], ""
-    for part in _END.split(clean(text)):
+    text, parts, at = clean(text), [], 0
+    for m in _END.finditer(text):
+        parts.append(text[at : m.start() + 1])
+        at = m.end()
+    for part in [*parts, text[at:]]:
         part = f"{held} {part}".strip() if held else part
         held = ""
-        if _ABBREVIATION.search(part) and len(part.split()) < 4:
+        words = part.split()
+        if len(words) < 4 and _ABBREVIATION.search(part):
             held = part
             continue
-        words = part.split()
         # Scans may show the first letter as a digit or a small l; only a lower-case start of the item is a remainder.
         first = part.lstrip("¿¡«\"“(")[:2]
         whole = first[:1].isupper() or first[:1].isdigit() or first[:1] == "l" and first[1:] in _CONSONANTS
-        full = len(words) >= 4 and part[-1:] in ".?!" and (whole or bool(out))
+        full = len(words) >= 3 and part[-1:] in ".?!" and (whole or bool(out))
         out.append((part, full))
     if held:
         out.append((held, False))
@@ -245,10 +251,12 @@ def _model(samples: dict[str, str]) -> Model:
 
 
 def classify(rows: DataFrame, samples: dict[str, str], carry: list[str]) -> DataFrame:
-    """Per item and language: characters, full sentences and the best confidence.
+    """Per item and piece: language, characters, whether it is a full sentence, and the confidence.
 
-    ``rows`` has ``text`` and the columns in ``carry``. Texts without a piece of ``MIN_CHARS``
-    characters give no row. Confidence is the margin to the next language as a share, 0 to 1.
+    ``rows`` has ``text`` and the columns in ``carry``. Every piece gives a row; texts without a
+    letter give none. Confidence is the margin to the next language as a share, 0 to 1. A short
+    piece without a wide margin takes the language of the piece before it in its item, or behind
+    it, with confidence 0. Equal pieces of a batch are parsed once.
     """
     sent = rows.sparkSession.sparkContext.broadcast(samples)
     schema = ", ".join(f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in carry) + ", piece int, lang string, chars int, full boolean, confidence double, margins array<double>"
@@ -256,26 +264,35 @@ def classify(rows: DataFrame, samples: dict[str, str], carry: list[str]) -> Data
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         model = _model(sent.value)
         for b in batches:
-            at, pieces, fulls, no = [], [], [], []
+            at, which, fulls, no, distinct = [], [], [], [], {}
             for i, t in enumerate(b["text"]):
                 for k, (p, full) in enumerate(sentences(t)):
-                    if len(p) >= MIN_CHARS:
+                    if any(c.isalpha() for c in p):
                         at.append(i)
-                        pieces.append(p)
+                        which.append(distinct.setdefault(p, len(distinct)))
                         fulls.append(full)
                         no.append(k)
             if not at:
                 continue
-            h = model.entropy(pieces)
+            h = model.entropy(list(distinct))
             two = np.sort(h, axis=1)[:, :2]
-            best = np.argmin(h, axis=1)
+            best, size = np.argmin(h, axis=1), np.array([len(p) for p in distinct], dtype=np.int32)
+            margin = 1 - two[:, 0] / np.maximum(two[:, 1], 1e-9)
+            lang, sure = best[which], (size >= SHORT)[which] | (margin >= SHORT_MARGIN)[which]
+            confidence = margin[which]
+            for step in (1, -1):  # from the piece before, then from the piece behind
+                order = range(len(at)) if step > 0 else range(len(at) - 1, -1, -1)
+                for j in order:
+                    if not sure[j] and 0 <= j - step < len(at) and sure[j - step] and at[j - step] == at[j]:
+                        confidence[j] = 0.0 if lang[j] != lang[j - step] else confidence[j]
+                        lang[j], sure[j] = lang[j - step], True
             out = b[carry].iloc[at].reset_index(drop=True)
             out["piece"] = np.array(no, dtype=np.int32)
-            out["lang"] = [model.langs[k] for k in best]
-            out["chars"] = np.array([len(p) for p in pieces], dtype=np.int32)
+            out["lang"] = [model.langs[k] for k in lang]
+            out["chars"] = size[which]
             out["full"] = fulls
-            out["confidence"] = 1 - two[:, 0] / np.maximum(two[:, 1], 1e-9)
-            out["margins"] = list(1 - two[:, :1] / np.maximum(h, 1e-9))
+            out["confidence"] = confidence
+            out["margins"] = list((1 - two[:, :1] / np.maximum(h, 1e-9))[which])
             yield out
 
     return rows.select(*carry, "text").mapInPandas(scan, schema)
@@ -302,7 +319,8 @@ def foreign(found: DataFrame, mains: DataFrame, margin: float = MARGIN) -> DataF
     """(doc_id, text_ix, lang, confidence) of items with a full sentence in another language than the filing's."""
     order = F.array(*[F.lit(k) for k in LANGS])
     against = F.col("margins")[F.array_position(order, F.col("main")).cast("int") - 1]
-    joined = found.where("full").join(mains.select("doc_id", F.col("lang").alias("main")), "doc_id").where((F.col("lang") != F.col("main")) & (against >= margin))
+    least = F.when(F.col("chars") < SHORT, F.lit(SHORT_MARGIN)).otherwise(F.lit(margin))
+    joined = found.where("full").join(mains.select("doc_id", F.col("lang").alias("main")), "doc_id").where((F.col("lang") != F.col("main")) & (against >= least))
     return joined.groupBy("doc_id", "text_ix", "lang").agg(F.max("confidence").alias("confidence"))
 
 
