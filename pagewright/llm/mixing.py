@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 
 from pagewright.session import cut, width
 
-BUCKETS = 256  # prefix sums run over so many hash buckets a source, then within each
+BUCKETS = 256  # prefix sums run over at least so many hash buckets a source, then within each
+BUCKET_ROWS = 50_000  # and over so many that a bucket has about this many rows
 TILT = 0.5  # how strongly weights move over training: scarce sources come late
 
 
@@ -56,7 +57,8 @@ def position(done: Column, want: Column, slope: Column) -> Column:
 
 def draw(docs: DataFrame, targets: DataFrame, key: str = "doc_id", tokens: str = "tokens", total_tokens: int | None = None) -> tuple[DataFrame, DataFrame]:
     """(draws, shares). draws: source, key, repeat_no, tokens, position, in training order.
-    shares: source, target_share, docs, draws, tokens, reached_share, max_repeat.
+    shares: source, target_share, docs, draws, tokens, max_repeat, cap, wanted (tokens), sets_total
+    (whether the source's cap is what the size of the mix goes by), reached_share.
 
     Documents come in the order of a hash of their key, so each prefix of a source is a fair
     sample. A document is drawn in epoch e if the tokens drawn before it leave at least half of
@@ -64,7 +66,8 @@ def draw(docs: DataFrame, targets: DataFrame, key: str = "doc_id", tokens: str =
     drawn; ties in position fall to source and key. Empty tables give empty results.
     """
     named = docs.where(F.col("source").isNotNull() & F.col(key).isNotNull() & (F.col(tokens) > 0)).select("source", F.col(key).alias("key"), F.col(tokens).cast("long").alias("tokens"))
-    named = cut(named.withColumn("h", F.xxhash64("key")).withColumn("bucket", F.pmod(F.shiftright("h", 20), F.lit(BUCKETS)).cast("int")))
+    named = cut(named.withColumn("h", F.xxhash64("key")))
+    named = named.withColumn("bucket", F.pmod(F.shiftright("h", 20), F.lit(max(BUCKETS, -(-named.count() // BUCKET_ROWS)))).cast("int"))
     buckets = named.groupBy("source", "bucket").agg(F.sum("tokens").alias("t"), F.count(F.lit(1)).alias("n"))
     supply = buckets.groupBy("source").agg(F.sum("t").alias("supply"), F.sum("n").alias("docs"))
     goal = cut(plan(supply, targets, total_tokens))  # as many rows as targets
@@ -85,5 +88,6 @@ def draw(docs: DataFrame, targets: DataFrame, key: str = "doc_id", tokens: str =
     every = Window.partitionBy(F.lit(1))
     shares = goal.join(got, "source", "left").select(
         "source", "target_share", "docs", F.coalesce("draws", F.lit(0)).alias("draws"), F.coalesce(got["tokens"], F.lit(0)).alias("tokens"), F.coalesce("max_repeat", F.lit(0)).alias("max_repeat"), "cap",
+        F.round("want").cast("long").alias("wanted"), (F.lit(total_tokens is None) & (F.col("share") > 0) & F.col("cap").isNotNull() & (F.col("supply") * F.col("cap") <= F.col("want") * (1 + 1e-9))).alias("sets_total"),
     ).withColumn("reached_share", F.round(F.col("tokens") / F.sum("tokens").over(every), 6))
     return ordered, shares

@@ -19,7 +19,7 @@ from pagewright.session import cut
 BLOCK_ITEMS = 4000  # items of one block, the bound of a task's group
 FULL = 0.995  # bins filled less are opened again in the next round
 ROUNDS = 3
-MAX_BUDGETS = 64  # each budget takes every document once
+GROUP = 64  # budgets packed at a time, as each takes every document once
 
 
 def fullest(stock: list[int], capacity: int) -> list[int]:
@@ -85,19 +85,25 @@ def pack(lengths: list[int], capacity: int) -> list[list[int]]:
     return bins
 
 
-def packets(docs: DataFrame, budgets: DataFrame, key: str = "doc_id", tokens: str = "tokens", block_items: int = BLOCK_ITEMS) -> DataFrame:
+def packets(docs: DataFrame, budgets: DataFrame, key: str = "doc_id", tokens: str = "tokens", block_items: int = BLOCK_ITEMS, group: int = GROUP) -> DataFrame:
     """(budget_id, capacity_tokens, packet_id, key, part, tokens): the members of every packet.
 
     A text longer than the capacity gives full packets of its own (part 0, 1, ...) and its rest
     is packed like a short text; no other text is split. Texts without tokens ride along in a
     packet of their block. Null capacities and capacities below 1 take no part; null keys too.
+    Any number of budgets is packed, ``group`` at a time.
     """
+    usable = sorted((r.budget_id, r.capacity_tokens) for r in budgets.where((F.col("capacity_tokens") > 0) & F.col("budget_id").isNotNull()).select("budget_id", "capacity_tokens").distinct().collect())
+    out = _packets(docs, usable[:group], key, tokens, block_items)
+    for at in range(group, len(usable), group):
+        out = out.unionByName(_packets(docs, usable[at : at + group], key, tokens, block_items))
+    return out
+
+
+def _packets(docs: DataFrame, usable: list[tuple[int, int]], key: str, tokens: str, block_items: int) -> DataFrame:
     kind = docs.schema[key].dataType.simpleString()
-    usable = budgets.where((F.col("capacity_tokens") > 0) & F.col("budget_id").isNotNull()).select("budget_id", "capacity_tokens").distinct().limit(MAX_BUDGETS + 1).collect()
-    if len(usable) > MAX_BUDGETS:
-        raise ValueError(f"more than {MAX_BUDGETS} budgets")
     items = docs.where(F.col(key).isNotNull()).select(F.col(key).alias("key"), F.coalesce(F.col(tokens), F.lit(0)).cast("int").alias("tokens"))
-    kinds = F.array(*[F.struct(F.lit(r.budget_id).cast("int").alias("budget_id"), F.lit(r.capacity_tokens).cast("int").alias("capacity_tokens")) for r in usable]).cast("array<struct<budget_id:int,capacity_tokens:int>>")
+    kinds = F.array(*[F.struct(F.lit(b).cast("int").alias("budget_id"), F.lit(c).cast("int").alias("capacity_tokens")) for b, c in usable]).cast("array<struct<budget_id:int,capacity_tokens:int>>")
     each = items.select("key", "tokens", F.explode(kinds).alias("b")).select("key", "tokens", "b.*")
     whole = F.floor(F.col("tokens") / F.col("capacity_tokens")).cast("int")
     rest = F.col("tokens") - whole * F.col("capacity_tokens")

@@ -37,14 +37,14 @@ def p6_packets(spark: SparkSession, d: str) -> DataFrame:
     return packing.packets(docs, table(spark, d, "token_budgets"))
 
 
-def p7_mix(spark: SparkSession, d: str) -> DataFrame:
+def p7_mix(spark: SparkSession, d: str, total_tokens: int | None = None) -> DataFrame:
     docs = tokens.with_tokens(table(spark, d, "documents").select("doc_id", "source", "text"))
-    return mixing.draw(docs, table(spark, d, "source_targets"))[0]
+    return mixing.draw(docs, table(spark, d, "source_targets"), total_tokens=total_tokens)[0]
 
 
-def p7_shares(spark: SparkSession, d: str) -> DataFrame:
+def p7_shares(spark: SparkSession, d: str, total_tokens: int | None = None) -> DataFrame:
     docs = tokens.with_tokens(table(spark, d, "documents").select("doc_id", "source", "text"))
-    return mixing.draw(docs, table(spark, d, "source_targets"))[1]
+    return mixing.draw(docs, table(spark, d, "source_targets"), total_tokens=total_tokens)[1]
 
 
 def p8_found(spark: SparkSession, d: str) -> DataFrame:
