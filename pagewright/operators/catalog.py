@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pagewright.functions.scalars import stripped
@@ -54,6 +54,42 @@ def changes(old: DataFrame, new: DataFrame, key: str, fields: list[str]) -> Data
     return j.select(key, F.explode(each).alias("x")).select(key, "x.*").where(F.col("new").isNotNull() & ~F.col("new").eqNullSafe(F.col("old")))
 
 
+def grown(old: Column, new: Column) -> Column:
+    """The old list and what the new one adds, each in its order."""
+    return F.array_distinct(F.concat(F.coalesce(old, F.array().cast("array<string>")), F.coalesce(new, F.array().cast("array<string>"))))
+
+
+def merge_facets(old: Column, seen: Column, done: Column) -> Column:
+    """facets (map of category to labels) after a scrape.
+
+    ``seen`` holds the categories searched. A category in ``done`` (every search of it finished and
+    the item in range) is replaced, any other only grows; categories that were not searched stay.
+    """
+    none = F.create_map().cast("map<string,array<string>>")
+    old, seen, done = F.coalesce(old, none), F.coalesce(seen, none), F.coalesce(done, F.array().cast("array<string>"))
+    after = F.transform_values(seen, lambda k, v: F.when(F.array_contains(done, k), v).otherwise(grown(F.try_element_at(old, k), v)))
+    return F.map_concat(F.map_filter(old, lambda k, v: ~F.map_contains_key(seen, k)), after)
+
+
+def merge_containers(old: Column, seen: Column, cleared: Column) -> Column:
+    """Memberships after a scrape: those of containers traversed in full drop out unless seen, new ones follow."""
+    none = F.array().cast("array<string>")
+    return grown(F.array_except(F.coalesce(old, none), F.coalesce(cleared, none)), seen)
+
+
+def completeness(pages: DataFrame, members: DataFrame) -> DataFrame:
+    """(box, members, total, complete) of containers read page by page.
+
+    ``pages``: box, page_no, ok, total, empty; ``members``: box, member. Complete is a container of
+    which every page was read and that has as many members, itself apart, as the largest total
+    printed; one that only says it is empty has a total of 0.
+    """
+    m = members.where(F.col("member") != F.col("box")).groupBy("box").agg(F.countDistinct("member").alias("members"))
+    g = pages.groupBy("box").agg(F.bool_and("ok").alias("ok"), F.max("total").alias("total"), F.bool_or("empty").alias("empty")).join(m, "box", "left").withColumn("members", F.coalesce("members", F.lit(0)))
+    g = g.withColumn("total", F.when(F.col("total").isNull() & (F.col("members") == 0) & F.col("empty"), 0).otherwise(F.col("total")))
+    return g.select("box", "members", "total", (F.col("ok") & F.col("total").isNotNull() & (F.col("members") >= F.coalesce("total", F.lit(0)))).alias("complete"))
+
+
 def latest(rows: DataFrame, key: list[str], order: list[str]) -> DataFrame:
     """The newest row of each key, nulls oldest."""
     rest = [c for c in rows.columns if c not in key]

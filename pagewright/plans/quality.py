@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pagewright.functions import scalars as S
 from pagewright.operators import coverage, readings, tables
 from pagewright.plans.registry import Registry
-from pagewright.session import once, table
+from pagewright.session import once, spread, table
 from pagewright.sources import fixtures as fx
 from pagewright.sources.extractions import references
 
@@ -35,8 +35,26 @@ dirs AS (SELECT doc_id, page_no, token, winner_count, min(other_count) AS least_
   CASE WHEN max((winner_count = 0 OR other_count = 0)::INT) = 1 THEN CASE WHEN winner_count = 0 THEN 'winner_missing' WHEN max(other_count) = 0 THEN 'others_missing' ELSE 'bidirectional' END END AS direction FROM conf GROUP BY doc_id, page_no, token, winner_count)"""
 
 
+AGREE_SQL = N_SQL + """, ntot AS (SELECT doc_id, page_no, variant, sum(n) AS n FROM nums GROUP BY ALL),
+nshared AS (SELECT t.doc_id, t.page_no, t.variant, sum(least(t.n, x.n)) AS n FROM own t JOIN win x USING (doc_id, page_no, token) GROUP BY ALL),
+agreed AS (SELECT a.*, CASE WHEN greatest(coalesce(t.n, 0), coalesce(wt.n, 0)) = 0 THEN 1.0 ELSE round(coalesce(s.n, 0)::DOUBLE / greatest(coalesce(t.n, 0), coalesce(wt.n, 0)), 4) END AS numeric_ratio
+  FROM agr a JOIN winners w USING (doc_id, page_no) LEFT JOIN ntot t ON t.doc_id = a.doc_id AND t.page_no = a.page_no AND t.variant = a.variant LEFT JOIN ntot wt ON wt.doc_id = a.doc_id AND wt.page_no = a.page_no AND wt.variant = w.variant
+  LEFT JOIN nshared s ON s.doc_id = a.doc_id AND s.page_no = a.page_no AND s.variant = a.variant),
+fulldirs AS (SELECT d.*, x.other_counts FROM dirs d JOIN (SELECT doc_id, page_no, token, string_agg(variant || '=' || other_count, ',' ORDER BY variant) AS other_counts FROM conf GROUP BY ALL) x USING (doc_id, page_no, token)),
+low AS (SELECT doc_id, page_no, string_agg(variant, '+' ORDER BY variant) AS compared_against, min(ratio) AS text_min, min(numeric_ratio) AS numeric_min FROM agreed GROUP BY ALL),
+tally AS (SELECT doc_id, page_no, count(*) FILTER (kind = 'token_difference') AS token_differences, count(*) FILTER (kind = 'count_difference') AS count_differences, count(*) FILTER (direction = 'winner_missing') AS winner_missing,
+  count(*) FILTER (direction = 'others_missing') AS others_missing, count(*) FILTER (direction = 'bidirectional') AS bidirectional FROM dirs GROUP BY ALL),
+verdicts AS (SELECT l.doc_id, l.page_no, compared_against, text_min, numeric_min, coalesce(token_differences, 0) AS token_differences, coalesce(count_differences, 0) AS count_differences, coalesce(winner_missing, 0) AS winner_missing, coalesce(others_missing, 0) AS others_missing,
+  coalesce(bidirectional, 0) AS bidirectional, greatest(coalesce(token_differences, 0) + coalesce(count_differences, 0) - 40, 0) AS truncated, CASE WHEN token_differences > 0 THEN 'numbers_differ' WHEN text_min < 0.98 THEN 'text_differs_numbers_agree' ELSE 'agree' END AS verdict
+  FROM low l LEFT JOIN tally t ON t.doc_id = l.doc_id AND t.page_no = l.page_no)"""
+
+
 def _scored(spark: SparkSession, d: str) -> DataFrame:
-    return readings.page_quality(fx.readings(spark, d))
+    return readings.page_quality(spread(fx.readings(spark, d)))
+
+
+def _tokens(spark: SparkSession, d: str) -> DataFrame:
+    return readings.token_counts(readings.compared(fx.readings(spark, d)))
 
 
 def _both(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
@@ -74,36 +92,37 @@ def numeric_tokens(spark: SparkSession, d: str) -> DataFrame:
     return readings.numeric_tokens(fx.readings(spark, d))
 
 
-@R.query(A_SQL + " SELECT * FROM agr")
+@R.query(AGREE_SQL + " SELECT * FROM agreed")
 def text_agreement(spark: SparkSession, d: str) -> DataFrame:
-    return readings.text_agreement(*_both(spark, d))
+    return readings.text_agreement(_tokens(spark, d))
 
 
 @R.query(N_SQL + " SELECT * FROM conf")
 def numeric_conflicts(spark: SparkSession, d: str) -> DataFrame:
-    return readings.numeric_conflicts(*_both(spark, d))
+    return readings.conflicts(_tokens(spark, d)).select(*PAGE, F.explode("other_counts").alias("variant", "other_count"), "token", "winner_count")
 
 
 def _directed(spark: SparkSession, d: str) -> DataFrame:
-    return readings.conflict_directions(readings.numeric_conflicts(*_both(spark, d)))
+    """Conflicts with their counts as text, since maps have no order."""
+    c = readings.conflicts(_tokens(spark, d))
+    text = F.array_join(F.transform(F.array_sort(F.map_entries("other_counts")), lambda e: F.concat(e["key"], F.lit("="), e["value"].cast("string"))), ",")
+    return c.withColumn("other_counts", text)
 
 
-@R.query(N_SQL + " SELECT * FROM dirs")
+@R.query(AGREE_SQL + " SELECT * FROM fulldirs")
 def conflict_directions(spark: SparkSession, d: str) -> DataFrame:
     return _directed(spark, d)
 
 
-@R.query(N_SQL + """ SELECT doc_id, page_no, token, winner_count, least_other, variants, kind, direction, rank, greatest(n - 40, 0) AS truncated FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, page_no) AS n,
-  row_number() OVER (PARTITION BY doc_id, page_no ORDER BY (kind <> 'token_difference')::INT, -abs(winner_count - least_other), token) AS rank FROM dirs) WHERE rank <= 40""")
+@R.query(AGREE_SQL + """ SELECT doc_id, page_no, token, winner_count, least_other, variants, kind, direction, other_counts, rank, greatest(n - 40, 0) AS truncated FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, page_no) AS n,
+  row_number() OVER (PARTITION BY doc_id, page_no ORDER BY (kind <> 'token_difference')::INT, -abs(winner_count - least_other), token) AS rank FROM fulldirs) WHERE rank <= 40""")
 def conflict_top40(spark: SparkSession, d: str) -> DataFrame:
     return readings.conflict_top(_directed(spark, d))
 
 
-@R.query(N_SQL + """ SELECT a.doc_id, a.page_no, min(ratio) AS text_min, CASE WHEN bool_or(h.doc_id IS NOT NULL) THEN 'numbers_differ' WHEN min(ratio) < 0.98 THEN 'text_differs_numbers_agree' ELSE 'agree' END AS verdict
-  FROM agr a LEFT JOIN (SELECT DISTINCT doc_id, page_no FROM dirs WHERE kind = 'token_difference') h ON h.doc_id = a.doc_id AND h.page_no = a.page_no GROUP BY a.doc_id, a.page_no""")
+@R.query(AGREE_SQL + " SELECT * FROM verdicts")
 def verdicts(spark: SparkSession, d: str) -> DataFrame:
-    s, w = _both(spark, d)
-    return readings.verdicts(readings.text_agreement(s, w), readings.conflict_directions(readings.numeric_conflicts(s, w)))
+    return readings.page_agreement(_tokens(spark, d))
 
 
 @R.query("WITH " + fx.LINES_SQL + r" SELECT doc_id, page_no FROM (SELECT doc_id, page_no, length(line) AS n, length(line) - length(regexp_replace(line, '[\x00-\x08\x0b\x0c\x0e-\x1f]', '', 'g')) AS k FROM lines) WHERE n < 100 OR k / n > 0.2")
@@ -164,9 +183,10 @@ def doubt_index(spark: SparkSession, d: str) -> DataFrame:
     return _doubts(spark, d).groupBy("meta_id", "code").agg(F.array_sort(F.collect_list("pos")).alias("positions"))
 
 
-@R.query(D_SQL + " SELECT DISTINCT meta_id, pos FROM d1 WHERE code IN ('almost_no_text', 'not_character_like', 'variants_disagree_on_numbers')")
+@R.query(D_SQL + " SELECT DISTINCT meta_id, pos FROM d1")
 def reprocess_pages(spark: SparkSession, d: str) -> DataFrame:
-    return _doubts(spark, d).where(F.col("code").isin("almost_no_text", "not_character_like", "variants_disagree_on_numbers")).select("meta_id", "pos").distinct()
+    """Pages with any doubt."""
+    return _doubts(spark, d).select("meta_id", "pos").distinct()
 
 
 @R.query(P_SQL + " SELECT meta_id, p.staging AS variant, count(*) AS wins FROM pages GROUP BY ALL")
@@ -204,12 +224,12 @@ def agreement_report(spark: SparkSession, d: str) -> DataFrame:
     return fx.meta_pages(spark, d).groupBy(F.coalesce("p.variant_agreement.verdict", F.lit("none")).alias("verdict")).agg(F.count(F.lit(1)).alias("pages"), F.countDistinct("doc_id").alias("filings"), F.sum(F.coalesce("p.variant_agreement.numeric_token_differences", F.lit(0))).alias("differences"))
 
 
-C_SQL = P_SQL + """, c0 AS (SELECT meta_id, pos, list_filter(p.variant_agreement.numeric_conflicts, lambda x: x IS NOT NULL) AS l FROM pages),
-c1 AS (SELECT meta_id, pos, unnest(l) AS x FROM c0), nc AS (SELECT meta_id, pos, x.token AS token, x.direction AS direction, x.kind AS kind, x.other_counts AS other_counts FROM c1)"""
+C_SQL = P_SQL + """, c0 AS (SELECT meta_id, pos, p.variant_agreement.numeric_conflicts AS l FROM pages),
+nc AS (SELECT meta_id, pos, i - 1 AS ix, l[i].token AS token, l[i].direction AS direction, l[i].kind AS kind, l[i].other_counts AS other_counts FROM (SELECT *, unnest(range(1, len(l) + 1)) AS i FROM c0) WHERE l[i] IS NOT NULL)"""
 
 
 def _recorded(spark: SparkSession, d: str) -> DataFrame:
-    return fx.meta_pages(spark, d).select("meta_id", "pos", F.explode("p.variant_agreement.numeric_conflicts").alias("x")).where(F.col("x").isNotNull()).select("meta_id", "pos", "x.token", "x.direction", "x.kind", "x.other_counts")
+    return fx.meta_pages(spark, d).select("meta_id", "pos", F.posexplode("p.variant_agreement.numeric_conflicts").alias("ix", "x")).where(F.col("x").isNotNull()).select("meta_id", "pos", "ix", "x.token", "x.direction", "x.kind", "x.other_counts")
 
 
 @R.query(C_SQL + ", e AS (SELECT meta_id, pos, unnest(map_keys(other_counts)) AS variant FROM nc) SELECT variant, count(*) AS conflicts, count(DISTINCT (meta_id, pos)) AS pages FROM e GROUP BY ALL")
@@ -217,71 +237,88 @@ def dissent(spark: SparkSession, d: str) -> DataFrame:
     return _recorded(spark, d).select("meta_id", "pos", F.explode(F.map_keys("other_counts")).alias("variant")).groupBy("variant").agg(F.count(F.lit(1)).alias("conflicts"), F.countDistinct("meta_id", "pos").alias("pages"))
 
 
-_OP = """CASE WHEN ac <> bc AND asg = bsg AND ar = br THEN 'comparator_change' WHEN ac = bc AND asg <> bsg AND ar = br THEN 'sign_change'
-  WHEN ac = bc AND asg = bsg AND regexp_extract(ar, '^([^eE]*)', 1) = regexp_extract(br, '^([^eE]*)', 1) AND ar <> br THEN 'exponent_change'
-  WHEN ac = bc AND asg = bsg AND least(av, bv) > 0 AND (abs(greatest(av, bv) / nullif(least(av, bv), 0) - 10) <= 0.01 OR abs(greatest(av, bv) / nullif(least(av, bv), 0) - 100) <= 0.1 OR abs(greatest(av, bv) / nullif(least(av, bv), 0) - 1000) <= 1.0) THEN 'magnitude_shift'
-  WHEN ac = bc AND asg = bsg AND regexp_replace(ar, '[.,]', '', 'g') = regexp_replace(br, '[.,]', '', 'g') AND ar <> br THEN 'decimal_shift'
-  WHEN ac = bc AND asg = bsg AND length(ar) = length(br) AND len(list_filter(range(1, length(ar) + 1), lambda i: substr(ar, i, 1) <> substr(br, i, 1))) = 1 THEN 'digit_substitution'
-  WHEN ac = bc AND asg = bsg AND abs(length(ar) - length(br)) = 1 AND len(list_filter(range(1, greatest(length(ar), length(br)) + 1), lambda i: CASE WHEN length(ar) > length(br) THEN substr(ar, 1, i - 1) || substr(ar, i + 1) = br ELSE substr(br, 1, i - 1) || substr(br, i + 1) = ar END)) > 0 THEN 'digit_insertion' END"""
+# Written from the description of the operations, with DuckDB's own functions.
+_OP = """CASE WHEN ac <> bc AND asg = bsg AND ar = br THEN 'comparator_change' WHEN asg <> bsg AND ac = bc AND ar = br THEN 'sign_change'
+  WHEN contains(lower(ar), 'e') <> contains(lower(br), 'e') THEN 'exponent_change'
+  WHEN least(av, bv) > 0 AND (abs(greatest(av, bv) / least(av, bv) - 10) < 0.01 OR abs(greatest(av, bv) / least(av, bv) - 100) < 0.1 OR abs(greatest(av, bv) / least(av, bv) - 1000) < 1.0) THEN 'magnitude_shift'
+  WHEN replace(ar, '.', '') = replace(br, '.', '') AND ar <> br THEN 'decimal_shift'
+  WHEN length(ar) = length(br) AND len(list_filter(range(1, length(ar) + 1), lambda i: substr(ar, i, 1) <> substr(br, i, 1))) = 1
+    AND len(list_filter(range(1, length(ar) + 1), lambda i: substr(ar, i, 1) <> substr(br, i, 1) AND regexp_matches(substr(ar, i, 1), '^[0-9]$') AND regexp_matches(substr(br, i, 1), '^[0-9]$'))) = 1 THEN 'digit_substitution'
+  WHEN abs(length(ar) - length(br)) = 1 AND len(list_filter(range(1, greatest(length(ar), length(br)) + 1), lambda i: CASE WHEN length(ar) > length(br) THEN substr(ar, 1, i - 1) || substr(ar, i + 1) = br ELSE substr(br, 1, i - 1) || substr(br, i + 1) = ar END)) > 0 THEN 'digit_insertion' END"""
+_CAUSE = """CASE WHEN operation = 'magnitude_shift' THEN CASE WHEN length(ar) = length(br) AND len(list_filter(range(1, length(ar) + 1), lambda i: substr(ar, i, 1) <> substr(br, i, 1))) = 1
+  AND len(list_filter(range(1, length(ar) + 1), lambda i: substr(ar, i, 1) <> substr(br, i, 1) AND substr(ar, i, 1) IN ('.', ',') AND substr(br, i, 1) IN ('.', ','))) = 1 THEN 'separator_substitution'
+  WHEN regexp_replace(ar, '[.,]', '', 'g') = regexp_replace(br, '[.,]', '', 'g') THEN 'separator_moved' WHEN length(regexp_replace(ar, '[.,]', '', 'g')) <> length(regexp_replace(br, '[.,]', '', 'g')) THEN 'digit_added_or_lost' ELSE 'value_differs' END END"""
 PAIR_SQL = C_SQL + f""", {fx.ITEM_CONFLICTS_SQL}, rare AS (SELECT * FROM (SELECT * FROM nc UNION ALL SELECT * FROM item_nc) WHERE NOT regexp_matches(token, '{S.COMMON}')),
-holds AS (SELECT meta_id, pos, token AS other, x.key AS variant FROM (SELECT meta_id, pos, token, unnest(map_entries(other_counts)) AS x FROM rare WHERE direction = 'winner_missing') WHERE x.value > 0),
-lacks AS (SELECT meta_id, pos, token AS kept, x.key AS variant FROM (SELECT meta_id, pos, token, unnest(map_entries(other_counts)) AS x FROM rare WHERE direction = 'others_missing') WHERE x.value = 0),
-j AS (SELECT meta_id, pos, kept, other, count(*) AS variants FROM holds JOIN lacks USING (meta_id, pos, variant) GROUP BY ALL),
+holds AS (SELECT meta_id, pos, ix AS holder, token AS other, x.key AS variant FROM (SELECT meta_id, pos, ix, token, unnest(map_entries(other_counts)) AS x FROM rare WHERE direction = 'winner_missing') WHERE x.value > 0),
+lacks AS (SELECT meta_id, pos, ix AS lacker, token AS kept, x.key AS variant FROM (SELECT meta_id, pos, ix, token, unnest(map_entries(other_counts)) AS x FROM rare WHERE direction = 'others_missing') WHERE x.value = 0),
+j AS (SELECT meta_id, pos, kept, other, holder, lacker, string_agg(variant, '+' ORDER BY variant) AS variants FROM holds JOIN lacks USING (meta_id, pos, variant) GROUP BY ALL),
 parts AS (SELECT *, regexp_extract(kept, '^([<>]?)\\s*([+-]?)(.*)$', 1) AS ac, regexp_extract(kept, '^([<>]?)\\s*([+-]?)(.*)$', 2) AS asg, regexp_extract(kept, '^([<>]?)\\s*([+-]?)(.*)$', 3) AS ar,
   regexp_extract(other, '^([<>]?)\\s*([+-]?)(.*)$', 1) AS bc, regexp_extract(other, '^([<>]?)\\s*([+-]?)(.*)$', 2) AS bsg, regexp_extract(other, '^([<>]?)\\s*([+-]?)(.*)$', 3) AS br FROM j),
-vals AS (SELECT *, abs(try_cast(replace(ar, ',', '') AS DOUBLE)) AS av, abs(try_cast(replace(br, ',', '') AS DOUBLE)) AS bv FROM parts),
-pairs AS (SELECT * FROM (SELECT meta_id, pos, kept, other, {_OP} AS operation, variants FROM vals) WHERE operation IS NOT NULL)"""
+vals AS (SELECT *, try_cast(replace(ar, ',', '') AS DOUBLE) AS av, try_cast(replace(br, ',', '') AS DOUBLE) AS bv FROM parts),
+ops AS (SELECT *, {_OP} AS operation FROM vals),
+pairs AS (SELECT meta_id, pos, kept, other, operation, CAST(list_position({list(S.OPERATIONS)}, operation) - 1 AS INT) AS priority, {_CAUSE} AS cause, variants, holder, lacker FROM ops WHERE operation IS NOT NULL)"""
 
 
 def _pairs(spark: SparkSession, d: str) -> DataFrame:
     return readings.pairing(_recorded(spark, d).unionByName(fx.item_conflicts(spark, d)), ["meta_id", "pos"])
 
 
-@R.query(PAIR_SQL + " SELECT * FROM pairs")
+@R.query(PAIR_SQL + " SELECT meta_id, pos, kept, other, operation, priority, cause, variants FROM pairs")
 def pairing(spark: SparkSession, d: str) -> DataFrame:
-    return _pairs(spark, d)
+    return _pairs(spark, d).drop("holder", "lacker")
 
 
 @R.query(PAIR_SQL + " SELECT operation, count(*) AS pairs, count(DISTINCT (meta_id, pos)) AS pages FROM pairs GROUP BY ALL")
 def pairing_ops(spark: SparkSession, d: str) -> DataFrame:
-    return _pairs(spark, d).groupBy("operation").agg(F.count(F.lit(1)).alias("pairs"), F.countDistinct("meta_id", "pos").alias("pages"))
+    per = _pairs(spark, d).groupBy("operation", "meta_id", "pos").agg(F.count(F.lit(1)).alias("n"))
+    return per.groupBy("operation").agg(F.sum("n").alias("pairs"), F.count(F.lit(1)).alias("pages"))
 
 
-@R.query(PAIR_SQL + """ SELECT meta_id, pos, kept, other, CASE WHEN regexp_replace(kept, '[.,]', '#', 'g') = regexp_replace(other, '[.,]', '#', 'g') THEN 'separator_substitution'
-  WHEN regexp_replace(kept, '[.,]', '', 'g') = regexp_replace(other, '[.,]', '', 'g') THEN 'separator_moved' WHEN abs(length(regexp_replace(kept, '[.,]', '', 'g')) - length(regexp_replace(other, '[.,]', '', 'g'))) = 1 THEN 'digit_added_or_lost' ELSE 'value_differs' END AS cause FROM pairs WHERE operation = 'magnitude_shift'""")
+@R.query(PAIR_SQL + " SELECT cause, count(*) AS pairs FROM pairs WHERE operation = 'magnitude_shift' GROUP BY cause")
 def magnitude_causes(spark: SparkSession, d: str) -> DataFrame:
-    drop = lambda c, by: F.regexp_replace(c, "[.,]", by)
-    cause = (
-        F.when(drop("kept", "#") == drop("other", "#"), "separator_substitution").when(drop("kept", "") == drop("other", ""), "separator_moved")
-        .when(F.abs(F.length(drop("kept", "")) - F.length(drop("other", ""))) == 1, "digit_added_or_lost").otherwise("value_differs"))
-    return _pairs(spark, d).where("operation = 'magnitude_shift'").select("meta_id", "pos", "kept", "other", cause.alias("cause"))
+    return _pairs(spark, d).where("operation = 'magnitude_shift'").groupBy("cause").agg(F.count(F.lit(1)).alias("pairs"))
 
 
-STRUCTURAL = ("table_mostly_dropped", "table_grid_disputed", "bbox_clamped")
-COMPLETE = ("almost_no_text", "not_character_like", "thin_for_this_document", "ocr_empty", "timeout", "needed_retry")
+# Which doubts send a page to which review.
+STRUCTURAL = ("table_grid_disputed", "table_mostly_dropped")
+COMPLETENESS = ("almost_no_text", "not_character_like")
+DIAGNOSTIC = ("bbox_clamped", "needed_retry", "ocr_empty", "thin_for_this_document", "variants_disagree_on_numbers")
 _in = lambda codes: ", ".join(f"'{c}'" for c in codes)
-T_SQL = PAIR_SQL.replace("WITH ", D_SQL + ", x1 AS (SELECT 1), ", 1).replace(fx.META_SQL + ", c0", "c0", 1) + f""", flags AS (SELECT meta_id, pos, bool_or(k = 0) AS num, bool_or(k = 1 AND code IN ({_in(STRUCTURAL)})) AS str, bool_or(k = 1 AND code IN ({_in(COMPLETE)})) AS com
-  FROM (SELECT meta_id, pos, 0 AS k, '' AS code FROM pairs UNION ALL SELECT meta_id, pos, 1, code FROM d1) GROUP BY ALL),
-tiers AS (SELECT meta_id, pos, unnest(CASE WHEN NOT (num OR str OR com) THEN ['diagnostic'] ELSE list_filter([CASE WHEN num THEN 'review_numeric' END, CASE WHEN str THEN 'review_structural' END, CASE WHEN com THEN 'review_completeness' END], lambda x: x IS NOT NULL) END) AS tier FROM flags)"""
+_codes = lambda codes: f"list_filter(codes, lambda c: c IN ({_in(codes)}))"
+T_SQL = PAIR_SQL + f""", ranked AS (SELECT meta_id, pos, operation || ': kept ' || chr(39) || kept || chr(39) || ' vs ' || chr(39) || other || chr(39) || ' (' || variants || ')' AS why, row_number() OVER (PARTITION BY meta_id, pos ORDER BY priority, holder, lacker, kept, other) AS n FROM pairs),
+num AS (SELECT meta_id, pos, list(why ORDER BY n) FILTER (n <= 6) AS why FROM ranked GROUP BY ALL),
+noted AS (SELECT meta_id, pos, list_sort(list(DISTINCT code)) AS codes FROM (SELECT meta_id, pos, unnest(p.doubts).code AS code FROM pages) WHERE code IS NOT NULL GROUP BY ALL),
+every AS (SELECT coalesce(num.meta_id, noted.meta_id) AS meta_id, coalesce(num.pos, noted.pos) AS pos, num.why AS pairs, coalesce(codes, []) AS codes FROM num FULL JOIN noted ON num.meta_id = noted.meta_id AND num.pos = noted.pos),
+review AS (SELECT meta_id, pos, list_filter([CASE WHEN pairs IS NOT NULL THEN 'review_numeric' END, CASE WHEN len({_codes(STRUCTURAL)}) > 0 THEN 'review_structural' END, CASE WHEN len({_codes(COMPLETENESS)}) > 0 THEN 'review_completeness' END], lambda x: x IS NOT NULL) AS tiers,
+  coalesce(pairs, []) || {_codes(STRUCTURAL)} || {_codes(COMPLETENESS)} AS why, {_codes(DIAGNOSTIC)} AS diagnostic FROM every),
+tiers AS (SELECT meta_id, pos, CASE WHEN len(tiers) > 0 THEN tiers ELSE ['diagnostic'] END AS tiers, CASE WHEN len(tiers) > 0 THEN why ELSE diagnostic END AS why FROM review WHERE len(tiers) > 0 OR len(diagnostic) > 0)"""
 
 
 def _triage(spark: SparkSession, d: str) -> DataFrame:
-    """Review tiers of a page: by a pair, by structure, by completeness; diagnostic if none of these."""
-    pairs = _pairs(spark, d).select("meta_id", "pos", F.lit(True).alias("num"), F.lit(False).alias("str"), F.lit(False).alias("com"))
-    doubts = _doubts(spark, d).select("meta_id", "pos", F.lit(False).alias("num"), F.col("code").isin(*STRUCTURAL).alias("str"), F.col("code").isin(*COMPLETE).alias("com"))
-    f = pairs.unionByName(doubts).groupBy("meta_id", "pos").agg(*[F.max(c).alias(c) for c in ("num", "str", "com")])
-    tiers = F.array_compact(F.array(F.when(F.col("num"), F.lit("review_numeric")), F.when(F.col("str"), F.lit("review_structural")), F.when(F.col("com"), F.lit("review_completeness"))))
-    return f.select("meta_id", "pos", F.explode(F.when(F.size(tiers) == 0, F.array(F.lit("diagnostic"))).otherwise(tiers)).alias("tier"))
-
-
-@R.query(T_SQL + " SELECT * FROM tiers")
+    """(meta_id, pos, tiers, why): a pair sends a page to numeric review, the doubts noted on it to the others; diagnostic doubts count alone."""
+    text = F.concat("operation", F.lit(": kept '"), "kept", F.lit("' vs '"), "other", F.lit("' ("), "variants", F.lit(")"))
+    none = F.lit(None).cast("string")
+    pairs = _pairs(spark, d).select("meta_id", "pos", F.struct("priority", "holder", "lacker", text.alias("text")).alias("pair"), none.alias("code"))
+    noted = fx.meta_pages(spark, d).select("meta_id", "pos", F.explode("p.doubts").alias("x")).where(F.col("x.code").isNotNull()).select("meta_id", "pos", F.lit(None).cast(pairs.schema["pair"].dataType).alias("pair"), F.col("x.code").alias("code"))
+    g = pairs.unionByName(noted).groupBy("meta_id", "pos").agg(F.array_sort(F.collect_list("pair")).alias("pairs"), F.array_sort(F.collect_set("code")).alias("codes"))
+    of = lambda codes: F.filter("codes", lambda c: c.isin(*codes))
+    tiers = F.array_compact(F.array(F.when(F.size("pairs") > 0, F.lit("review_numeric")), F.when(F.size(of(STRUCTURAL)) > 0, F.lit("review_structural")), F.when(F.size(of(COMPLETENESS)) > 0, F.lit("review_completeness"))))
+    why = F.concat(F.transform(F.slice("pairs", 1, 6), lambda x: x["text"]), of(STRUCTURAL), of(COMPLETENESS))
+    t = g.select("meta_id", "pos", tiers.alias("tiers"), why.alias("why"), of(DIAGNOSTIC).alias("diagnostic")).where((F.size("tiers") > 0) | (F.size("diagnostic") > 0))
+    found = F.size("tiers") > 0
+    return t.select("meta_id", "pos", F.when(found, F.col("tiers")).otherwise(F.array(F.lit("diagnostic"))).alias("tiers"), F.when(found, F.col("why")).otherwise(F.col("diagnostic")).alias("why"))
+
+
+@R.query(T_SQL + " SELECT meta_id, pos, array_to_string(tiers, '+') AS tiers, array_to_string(why, '; ') AS why FROM tiers")
 def triage(spark: SparkSession, d: str) -> DataFrame:
-    return _triage(spark, d)
+    return _triage(spark, d).select("meta_id", "pos", F.array_join("tiers", "+").alias("tiers"), F.array_join("why", "; ").alias("why"))
 
 
-@R.query(T_SQL + " SELECT tier, count(*) AS pages FROM tiers GROUP BY ALL")
+@R.query(T_SQL + " SELECT tier, count(*) AS pages FROM (SELECT unnest(tiers) AS tier FROM tiers) GROUP BY ALL UNION ALL SELECT 'queue', count(*) FILTER (starts_with(tier, 'review')) FROM (SELECT unnest(tiers) AS tier FROM tiers)")
 def triage_counts(spark: SparkSession, d: str) -> DataFrame:
-    return _triage(spark, d).groupBy("tier").agg(F.count(F.lit(1)).alias("pages"))
+    """Pages a tier, and the review queue of all tiers together."""
+    tier = F.explode(F.concat("tiers", F.transform(F.filter("tiers", lambda t: t.startswith("review")), lambda t: F.lit("queue"))))
+    return _triage(spark, d).select(tier.alias("tier")).groupBy("tier").agg(F.count(F.lit(1)).alias("pages"))
 
 
 # ------------------------------------------------------------------ tables, shapes, warnings
@@ -377,54 +414,98 @@ def grid_disputes(spark: SparkSession, d: str) -> DataFrame:
 # ------------------------------------------------------------------ coverage and reference parts
 
 _hist = lambda p: ", ".join(f"sum(length(norm) - length(replace(norm, '{ch}', ''))) AS {p}_{ch}" for ch in coverage.LETTERS)
-COV_SQL = """WITH az AS (SELECT * FROM azure_gz WHERE contents IS NOT NULL QUALIFY row_number() OVER (PARTITION BY az_id ORDER BY doc_id) = 1),
-gz AS (SELECT * FROM docling_gz QUALIFY row_number() OVER (PARTITION BY gz_id ORDER BY doc_id) = 1),
-p1 AS (SELECT doc_id, unnest(c.pages) AS p FROM (SELECT doc_id, unnest(contents) AS c FROM az)),
-rp AS (SELECT doc_id, p.pageNumber AS page_no, unnest(p.words).content AS text FROM p1),
-op AS (SELECT doc_id, t.prov[1].page_no AS page_no, t.text AS text FROM (SELECT doc_id, unnest(texts) AS t FROM gz)),
-rn AS (SELECT doc_id, page_no, regexp_replace(lower(coalesce(text, '')), '[^0-9a-z]', '', 'g') AS norm FROM rp), onn AS (SELECT doc_id, page_no, regexp_replace(lower(coalesce(text, '')), '[^0-9a-z]', '', 'g') AS norm FROM op),
+_RAW_SQL = """WITH az AS (SELECT * FROM azure_gz QUALIFY row_number() OVER (PARTITION BY az_id ORDER BY doc_id) = 1),
+raw AS (SELECT az_id, doc_id, part_no, CASE WHEN contents IS NOT NULL THEN to_json(contents) WHEN json_type(contents_raw) = 'OBJECT' AND json_exists(contents_raw, '$.contents') THEN json_extract(contents_raw, '$.contents')
+  WHEN json_type(contents_raw) = 'OBJECT' AND json_exists(contents_raw, '$.result') THEN coalesce(json_extract(contents_raw, '$.result.contents'), json_extract(contents_raw, '$.result')) ELSE contents_raw::JSON END AS j FROM az),
+listed AS (SELECT az_id, doc_id, part_no, CASE WHEN json_type(j) = 'OBJECT' THEN json_array(j) ELSE j END AS j FROM raw),
+content AS (SELECT az_id, doc_id, part_no, i, x FROM (SELECT az_id, doc_id, part_no, i, json_extract(j, '$[' || i || ']') AS x FROM (SELECT *, unnest(range(coalesce(json_array_length(j), 0)::BIGINT)) AS i FROM listed)) WHERE json_type(x) <> 'NULL')"""
+_SIZE = "coalesce(json_array_length(x, '$.{0}'), 0)::BIGINT".format
+COV_SQL = _RAW_SQL + """, gz AS (SELECT * FROM docling_gz QUALIFY row_number() OVER (PARTITION BY gz_id ORDER BY doc_id) = 1),
+pg AS (SELECT az_id, doc_id, part_no, i, k, json_extract(x, '$.pages[' || k || ']') AS p FROM (SELECT *, unnest(range(""" + _SIZE("pages") + """)) AS k FROM content)),
+rp AS (SELECT doc_id, try_cast(json_extract_string(p, '$.pageNumber') AS INT) AS page_no, part_no, az_id, i, k, (SELECT string_agg(CASE WHEN json_type(w) = 'OBJECT' THEN coalesce(json_extract_string(w, '$.content'), '') ELSE coalesce(json_extract_string(w, '$'), '') END, '') FROM (SELECT unnest(json_extract(p, '$.words[*]')) AS w)) AS text FROM pg WHERE json_type(p) <> 'NULL'),
+rl AS (SELECT * FROM rp WHERE page_no IS NOT NULL QUALIFY row_number() OVER (PARTITION BY doc_id, page_no ORDER BY part_no DESC NULLS LAST, az_id DESC, i DESC, k DESC) = 1),
+op AS (SELECT doc_id, t.prov[1].page_no AS page_no, t.text AS text FROM (SELECT doc_id, unnest(texts) AS t FROM gz) UNION ALL
+  SELECT doc_id, page_no, c.text FROM (SELECT doc_id, tb.prov[1].page_no AS page_no, unnest(tb.data.table_cells) AS c FROM (SELECT doc_id, unnest(tables) AS tb FROM gz))),
+rn AS (SELECT doc_id, page_no, regexp_replace(lower(coalesce(text, '')), '[^0-9a-z]', '', 'g') AS norm FROM rl), onn AS (SELECT doc_id, page_no, regexp_replace(lower(coalesce(text, '')), '[^0-9a-z]', '', 'g') AS norm FROM op),
 """ + f"rh AS (SELECT doc_id, page_no, {_hist('r')} FROM rn GROUP BY doc_id, page_no), oh AS (SELECT doc_id, page_no, {_hist('o')} FROM onn GROUP BY doc_id, page_no),\n" + \
-    f"cov AS (SELECT rh.doc_id, rh.page_no, CAST({' + '.join(f'r_{ch}' for ch in coverage.LETTERS)} AS BIGINT) AS ref_chars, CAST({' + '.join(f'least(r_{ch}, coalesce(o_{ch}, 0))' for ch in coverage.LETTERS)} AS BIGINT) AS shared FROM rh LEFT JOIN oh ON rh.doc_id = oh.doc_id AND rh.page_no = oh.page_no),\n" \
-    "covered AS (SELECT * FROM cov WHERE ref_chars >= 20)"
+    f"cov AS (SELECT rh.doc_id, rh.page_no, CAST({' + '.join(f'r_{ch}' for ch in coverage.LETTERS)} AS BIGINT) AS ref_chars, CAST({' + '.join(f'least(r_{ch}, coalesce(o_{ch}, 0))' for ch in coverage.LETTERS)} AS BIGINT) AS shared FROM rh LEFT JOIN oh ON rh.doc_id = oh.doc_id AND rh.page_no = oh.page_no),\n"
+
+
+def _covered_sql(least: int) -> str:
+    return COV_SQL + f"covered AS (SELECT * FROM cov WHERE ref_chars >= {least})"
+
+
+def _coverage(spark: SparkSession, d: str, least: int) -> DataFrame:
+    az = references(spark, d, "doc_id", "part_no")
+    pages = az.select("az_id", "doc_id", "part_no", F.posexplode("contents").alias("i", "c")).select("az_id", "doc_id", "part_no", "i", F.posexplode("c.pages").alias("k", "p")).where(F.col("p").isNotNull() & F.col("p.pageNumber").isNotNull())
+    words = F.array_join(F.transform(F.coalesce(F.col("p.words"), F.array().cast("array<struct<content:string,confidence:double>>")), lambda w: F.coalesce(w["content"], F.lit(""))), "")
+    ref = pages.select("doc_id", F.col("p.pageNumber").alias("page_no"), words.alias("text"), F.struct("part_no", "az_id", "i", "k").alias("place"))
+    gz = once(table(spark, d, "docling_gz").select("gz_id", "doc_id", "texts", "tables"), "gz_id")
+    # Items and table cells of a filing, each with the page it is placed on first.
+    first = lambda prov: F.try_element_at(prov, F.lit(1))["page_no"]
+    piece = "array<struct<page_no:int,text:string>>"
+    texts = F.transform("texts", lambda t: F.struct(first(t["prov"]).alias("page_no"), t["text"].alias("text")))
+    cells = F.flatten(F.transform("tables", lambda t: F.transform(F.coalesce(t["data"]["table_cells"], F.array().cast(gz.schema["tables"].dataType.elementType["data"].dataType["table_cells"].dataType)), lambda c: F.struct(first(t["prov"]).alias("page_no"), c["text"].alias("text")))))
+    none = F.array().cast(piece)
+    ours = gz.select("doc_id", F.explode(F.concat(F.coalesce(texts.cast(piece), none), F.coalesce(cells.cast(piece), none))).alias("x")).select("doc_id", "x.page_no", "x.text")
+    return coverage.page_coverage(ours, ref, least)
 
 
-def _coverage(spark: SparkSession, d: str) -> DataFrame:
-    """Words a page of the reference are few in these tables, so the least size is 20 characters here."""
-    az = references(spark, d, "doc_id")
-    words = az.select("doc_id", F.explode("contents").alias("c")).select("doc_id", F.explode("c.pages").alias("p")).select("doc_id", F.col("p.pageNumber").alias("page_no"), F.explode("p.words").alias("w")).select("doc_id", "page_no", F.col("w.content").alias("text"))
-    gz = once(table(spark, d, "docling_gz").select("gz_id", "doc_id", "texts"), "gz_id")
-    ours = gz.select("doc_id", F.explode("texts").alias("t")).select("doc_id", F.try_element_at(F.col("t.prov"), F.lit(1))["page_no"].alias("page_no"), F.col("t.text").alias("text"))
-    return coverage.page_coverage(ours, words, least=20)
+# A page of these reference tables holds few words; the operator's own least size is 100 characters.
+SMALL = 20
 
 
-@R.query(COV_SQL + " SELECT * FROM covered")
+@R.query(_covered_sql(coverage.LEAST) + " SELECT * FROM covered")
 def coverage_pages(spark: SparkSession, d: str) -> DataFrame:
-    return _coverage(spark, d)
+    return _coverage(spark, d, coverage.LEAST)
 
 
-@R.query(COV_SQL + """ SELECT doc_id, count(*) AS pages, count(*) FILTER (shared / ref_chars >= 0.95) AS ge95, count(*) FILTER (shared / ref_chars >= 0.8 AND shared / ref_chars < 0.95) AS ge80, count(*) FILTER (shared / ref_chars >= 0.5 AND shared / ref_chars < 0.8) AS ge50, count(*) FILTER (shared / ref_chars < 0.5) AS lt50
-  FROM (SELECT * FROM covered UNION ALL SELECT 'ALL', page_no, ref_chars, shared FROM covered) GROUP BY doc_id""")
-def coverage_summary(spark: SparkSession, d: str) -> DataFrame:
-    return coverage.summary(_coverage(spark, d))
+@R.query(_covered_sql(SMALL) + " SELECT * FROM covered")
+def coverage_small_pages(spark: SparkSession, d: str) -> DataFrame:
+    return _coverage(spark, d, SMALL)
 
 
-AZ_SQL = "WITH az AS (SELECT * FROM azure_gz WHERE contents IS NOT NULL QUALIFY row_number() OVER (PARTITION BY az_id ORDER BY doc_id) = 1)"
+@R.query(_covered_sql(SMALL) + """ SELECT doc_id, count(*) AS pages, round(avg(shared / ref_chars), 6) AS mean, round(quantile_cont(shared / ref_chars, 0.5), 6) AS median, count(*) FILTER (shared / ref_chars >= 0.95) AS ge95,
+  count(*) FILTER (shared / ref_chars >= 0.8 AND shared / ref_chars < 0.95) AS ge80, count(*) FILTER (shared / ref_chars >= 0.5 AND shared / ref_chars < 0.8) AS ge50, count(*) FILTER (shared / ref_chars < 0.5) AS lt50
+  FROM (SELECT * FROM covered UNION ALL SELECT 'ALL', page_no, ref_chars, shared FROM covered) GROUP BY doc_id""")
+def coverage_summary(spark: SparkSession, d: str) -> DataFrame:
+    return coverage.summary(_coverage(spark, d, SMALL))
 
 
-@R.query(AZ_SQL + " SELECT az_id, coalesce(len(contents[1].pages), 0) AS pages, coalesce(len(contents[1].paragraphs), 0) AS paragraphs, coalesce(len(contents[1].sections), 0) AS sections, coalesce(len(contents[1].tables), 0) AS tables, coalesce(len(contents[1].figures), 0) AS figures FROM az")
+# The first content object is the one whose lists are counted; an audit of the first and last page goes by what the pages say.
+@R.query(_RAW_SQL + ", f AS (SELECT az_id, json_extract(j, '$[0]') AS x FROM listed WHERE json_type(j) = 'ARRAY') SELECT az_id, " + ", ".join(f"{_SIZE(f)} AS {f}" for f in ("pages", "paragraphs", "sections", "tables", "figures")) + " FROM f")
 def reference_counts(spark: SparkSession, d: str) -> DataFrame:
     az = references(spark, d).where("contents IS NOT NULL").withColumn("c", F.try_element_at("contents", F.lit(1)))
     return az.select("az_id", *[F.coalesce(F.size(F.when(F.col(f"c.{f}").isNotNull(), F.col(f"c.{f}"))), F.lit(0)).cast("long").alias(f) for f in ("pages", "paragraphs", "sections", "tables", "figures")])
 
 
-@R.query(AZ_SQL + ", e AS (SELECT doc_id, part_no, i, contents[i] AS c FROM (SELECT *, unnest(range(1, len(contents) + 1)) AS i FROM az)) SELECT doc_id, i - 1 AS content_ix, string_agg(c.markdown, '' ORDER BY part_no) AS markdown, CAST(sum(coalesce(len(c.pages), 0)) AS BIGINT) AS pages, arg_max(c.endPageNumber, part_no) AS end_page FROM e WHERE c IS NOT NULL GROUP BY doc_id, i")
+LISTS = ("pages", "paragraphs", "sections", "tables", "figures", "lines", "words")
+
+
+@R.query(_RAW_SQL + f", e AS (SELECT doc_id, part_no, i, x, json_extract_string(x, '$.markdown') AS markdown, try_cast(json_extract_string(x, '$.endPageNumber') AS INT) AS end_page FROM content) SELECT doc_id, i AS content_ix, string_agg(markdown, '' ORDER BY part_no, az_id) AS markdown, "
+         .replace("SELECT doc_id, part_no, i, x", "SELECT az_id, doc_id, part_no, i, x") + ", ".join(f"CAST(sum({_SIZE(f)}) AS BIGINT) AS {f}" for f in LISTS) + ", arg_max(end_page, (part_no, az_id)) FILTER (end_page IS NOT NULL) AS end_page FROM e GROUP BY doc_id, i")
 def merge_parts(spark: SparkSession, d: str) -> DataFrame:
+    """The merged record's text, the sizes of its lists and its last page, per content object."""
+    m = merged_parts(spark, d)
+    return m.select("doc_id", "content_ix", "markdown", *[F.size(f).cast("long").alias(f) for f in LISTS], "end_page")
+
+
+def merged_parts(spark: SparkSession, d: str) -> DataFrame:
+    """One record per filing and content object: the parts' lists joined end to end, nothing renumbered or dropped, texts joined, the last end page kept.
+
+    A filing's parts hold 30 pages each at most, so a merged record is as large as the filing.
+    """
     az = references(spark, d, "doc_id", "part_no")
-    e = az.select("doc_id", "part_no", F.posexplode("contents").alias("content_ix", "c")).where("c IS NOT NULL")
-    text = F.array_sort(F.collect_list(F.when(F.col("c.markdown").isNotNull(), F.struct("part_no", F.col("c.markdown").alias("m")))))
-    size = F.coalesce(F.size(F.when(F.col("c.pages").isNotNull(), F.col("c.pages"))), F.lit(0))
-    g = e.groupBy("doc_id", "content_ix").agg(text.alias("x"), F.sum(size).alias("pages"), F.max_by("c.endPageNumber", F.when(F.col("c.endPageNumber").isNotNull(), F.col("part_no"))).alias("end_page"))
-    return g.select("doc_id", "content_ix", F.when(F.size("x") > 0, F.array_join(F.transform("x", lambda v: v["m"]), "")).alias("markdown"), "pages", "end_page")
+    e = az.select("doc_id", F.struct("part_no", "az_id").alias("place"), F.posexplode("contents").alias("content_ix", "c")).where("c IS NOT NULL")
+    g = e.groupBy("doc_id", "content_ix").agg(F.collect_list(F.struct("place", "c")).alias("x"), F.max_by("c.endPageNumber", F.when(F.col("c.endPageNumber").isNotNull(), F.col("place"))).alias("end_page"))
+    parts = F.array_sort("x", lambda a, b: F.when(a["place"] < b["place"], -1).when(a["place"] > b["place"], 1).otherwise(0))
+    g = g.select("doc_id", "content_ix", parts.alias("x"), "end_page")
+
+    def joined(f: str):
+        return F.flatten(F.transform("x", lambda v: F.coalesce(v["c"][f], F.array().cast(e.schema["c"].dataType[f].dataType)))).alias(f)
+
+    text = F.filter(F.transform("x", lambda v: v["c"]["markdown"]), lambda m: m.isNotNull())
+    return g.select("doc_id", "content_ix", F.when(F.size(text) > 0, F.array_join(text, "")).alias("markdown"), *[joined(f) for f in LISTS], "end_page")
 
 
 def queries() -> dict:

@@ -109,9 +109,9 @@ def item_conflicts(spark: SparkSession, d: str) -> DataFrame:
         F.struct(v.alias("token"), F.lit("others_missing").alias("direction"), F.create_map(F.lit("raster"), F.lit(0)).alias("other_counts")),
         F.struct(other.alias("token"), F.lit("winner_missing").alias("direction"), F.create_map(F.lit("raster"), F.lit(1)).alias("other_counts")),
     )
-    return li.select((-F.col("l_orderkey")).alias("meta_id"), F.col("l_linenumber").alias("pos"), F.explode(both).alias("x")).select("meta_id", "pos", "x.token", "x.direction", F.lit("token_difference").alias("kind"), "x.other_counts")
+    return li.select((-F.col("l_orderkey")).alias("meta_id"), F.col("l_linenumber").alias("pos"), F.posexplode(both).alias("ix", "x")).select("meta_id", "pos", "ix", "x.token", "x.direction", F.lit("token_difference").alias("kind"), "x.other_counts")
 
 
 ITEM_CONFLICTS_SQL = """li AS (SELECT -l_orderkey AS meta_id, l_linenumber AS pos, l_extendedprice::DECIMAL(12,2)::VARCHAR AS v, l_partkey % 8 AS k, (l_extendedprice * 10)::DECIMAL(14,2)::VARCHAR AS ten FROM lineitem),
-item_nc AS (SELECT meta_id, pos, v AS token, 'others_missing' AS direction, 'token_difference' AS kind, MAP {'raster': 0} AS other_counts FROM li
-  UNION ALL SELECT meta_id, pos, CASE k WHEN 0 THEN '<' || v WHEN 1 THEN '-' || v WHEN 2 THEN v || 'E2' WHEN 3 THEN ten WHEN 4 THEN translate(v, '.', ',') WHEN 5 THEN '1' || v WHEN 6 THEN translate(v, '3', '8') ELSE v || v END, 'winner_missing', 'token_difference', MAP {'raster': 1} FROM li)"""
+item_nc AS (SELECT meta_id, pos, 0 AS ix, v AS token, 'others_missing' AS direction, 'token_difference' AS kind, MAP {'raster': 0} AS other_counts FROM li
+  UNION ALL SELECT meta_id, pos, 1, CASE k WHEN 0 THEN '<' || v WHEN 1 THEN '-' || v WHEN 2 THEN v || 'E2' WHEN 3 THEN ten WHEN 4 THEN translate(v, '.', ',') WHEN 5 THEN '1' || v WHEN 6 THEN translate(v, '3', '8') ELSE v || v END, 'winner_missing', 'token_difference', MAP {'raster': 1} FROM li)"""

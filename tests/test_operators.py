@@ -28,10 +28,28 @@ def test_number_tokens(spark):
     assert _col(spark, ["1,234.56 < 0.010 1.2E-05", ""], S.number_tokens) == [["1,234.56", "<0.010", "1.2E-05"], []]
 
 
-@pytest.mark.parametrize("a,b,want", [("<0.010", "0.010", "comparator_change"), ("-5.5", "5.5", "sign_change"), ("24,25", "24.25", "magnitude_shift"), ("12.5", "12.6", "digit_substitution"), ("12.5", "112.5", "digit_insertion"), ("1E2", "1E3", "exponent_change"), ("884.5", "17.25", None)])
+@pytest.mark.parametrize("a,b,want", [("<0.010", "0.010", "comparator_change"), ("-5.5", "5.5", "sign_change"), ("24,25", "24.25", "magnitude_shift"), ("12.5", "12.6", "digit_substitution"), ("12.5", "112.5", "digit_insertion"), ("12.5E2", "12.5", "exponent_change"), ("<0.10", "0.010", "magnitude_shift"), ("0.10", "0.010", "magnitude_shift"), ("1.25", "12.6", None), ("1.234", "12.34", "magnitude_shift"), ("1.5", "1,5", "magnitude_shift"), ("1E2", "1E3", "magnitude_shift"), ("-7.5", "7.6", "digit_substitution"), ("884.5", "17.25", None)])
 def test_operation(spark, a, b, want):
     df = spark.createDataFrame([(a, b)], "a string, b string")
-    assert df.select(S.operation(F.col("a"), F.col("b")).alias("o")).first().o == want
+    parts = df.select(*[F.struct(*S.number_parts(F.col(c))).alias(c) for c in ("a", "b")])
+    assert parts.select(S.operation(F.col("a"), F.col("b")).alias("o")).first().o == want
+
+
+@pytest.mark.parametrize("a,b,want", [("24,25", "24.25", "separator_substitution"), ("1.50", "15.0", "separator_moved"), ("0.10", "0.010", "digit_added_or_lost"), ("<10.0", "1.00", "separator_moved"), ("12", "34", "value_differs")])
+def test_magnitude_cause(spark, a, b, want):
+    parts = spark.createDataFrame([(a, b)], "a string, b string").select(*[F.struct(*S.number_parts(F.col(c))).alias(c) for c in ("a", "b")])
+    assert parts.select(S.magnitude_cause(F.col("a"), F.col("b")).alias("o")).first().o == want
+
+
+def test_agreement_on_one_page(spark):
+    long = "the water of the well was tested on the first day of the month with care "
+    rows = [(1, 1, 0, "a", long + "5 0.010 7 7"), (1, 1, 1, "b", long + "5 <0.010 7"), (1, 1, 2, "c", long + "5 0.010 7 7"), (1, 1, 3, "d", "x"), (2, 1, 0, "a", long), (3, 1, 0, "a", None), (3, 1, 1, "b", "")]
+    df = spark.createDataFrame(rows, "doc_id long, page_no int, ord int, variant string, text string")
+    tokens = readings.token_counts(readings.compared(df))
+    got = {r.token: (r.kind, r.direction, r.other_counts) for r in readings.conflicts(tokens).collect()}
+    assert got == {"0.010": ("token_difference", "others_missing", {"b": 0}), "<0.010": ("token_difference", "winner_missing", {"b": 1}), "7": ("count_difference", None, {"b": 1})}
+    page = readings.page_agreement(tokens).collect()
+    assert [(r.doc_id, r.compared_against, r.numeric_min, r.token_differences, r.count_differences, r.verdict) for r in page] == [(1, "b+c", 0.5, 2, 1, "numbers_differ")]
 
 
 @pytest.mark.parametrize("scores,want", [([100, 101, 103], 2), ([100, 103, 104], 1), ([100, 102], 0), ([0], 0)])
@@ -46,11 +64,11 @@ def test_page_quality_of_empty_text(spark):
 
 
 def test_pairing_needs_a_shared_reading(spark):
-    kind = "doc long, token string, direction string, other_counts map<string,int>"
-    good = [(1, "24.25", "winner_missing", {"sml": 1, "hi": 1}), (1, "24,25", "others_missing", {"sml": 0, "hi": 0})]
-    bad = [(2, "884.5", "winner_missing", {"raster": 1}), (2, "17.25", "others_missing", {"hi": 0})]
+    kind = "doc long, ix int, token string, direction string, other_counts map<string,int>"
+    good = [(1, 0, "24.25", "winner_missing", {"sml": 1, "hi": 1}), (1, 1, "24,25", "others_missing", {"sml": 0, "hi": 0})]
+    bad = [(2, 0, "884.5", "winner_missing", {"raster": 1}), (2, 1, "17.25", "others_missing", {"hi": 0})]
     got = readings.pairing(spark.createDataFrame(good + bad, kind), ["doc"]).collect()
-    assert [(r.doc, r.kept, r.other, r.operation, r.variants) for r in got] == [(1, "24,25", "24.25", "magnitude_shift", 2)]
+    assert [(r.doc, r.kept, r.other, r.operation, r.cause, r.variants) for r in got] == [(1, "24,25", "24.25", "magnitude_shift", "separator_substitution", "hi+sml")]
 
 
 def test_thin_pages_keep_null_shapes_together(spark):
@@ -66,11 +84,11 @@ def test_table_checks(spark):
 
 
 def test_coverage(spark):
-    ref = spark.createDataFrame([("d", 1, "a" * 120), ("d", 2, "b" * 99), ("e", 1, None)], "doc_id string, page_no int, text string")
+    ref = spark.createDataFrame([("d", 1, "c" * 200, 0), ("d", 1, "a" * 120, 1), ("d", 2, "b" * 99, 0), ("e", 1, None, 0)], "doc_id string, page_no int, text string, place int")
     ours = spark.createDataFrame([("d", 1, "A" * 60 + "é")], "doc_id string, page_no int, text string")
     got = coverage.page_coverage(ours, ref)
     assert [(r.doc_id, r.page_no, r.ref_chars, r.shared) for r in got.collect()] == [("d", 1, 120, 60)]
-    assert {(r.doc_id, r.ge50) for r in coverage.summary(got).collect()} == {("d", 1), ("ALL", 1)}
+    assert {(r.doc_id, r.mean, r.median, r.ge50) for r in coverage.summary(got).collect()} == {("d", 0.5, 0.5, 1), ("ALL", 0.5, 0.5, 1)}
 
 
 def test_walk_survives_cycles(spark):

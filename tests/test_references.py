@@ -23,13 +23,13 @@ def folder(spark, tmp_path_factory):
     b = (3, "b", 1, "z", None, raw(content("B", 1)))
     rows = [(1, "a", 1, "z", [content("A1 ", 1)], None), (2, "a", 2, "z", None, raw(content("A2", 2))), b, b, (4, "c", 1, "z", None, "nonsense"), (5, "c", 2, "z", None, None), (6, "d", 1, "z", [content("D", 1)], None)]
     spark.createDataFrame(rows, AZURE).write.parquet(f"{at}/azure_gz.parquet")
-    gz = [(1, "b", [{"text": "abcdefghij", "prov": [{"page_no": 1}]}])]
-    spark.createDataFrame(gz, "gz_id long, doc_id string, texts array<struct<text:string,prov:array<struct<page_no:int>>>>").write.parquet(f"{at}/docling_gz.parquet")
+    gz = [(1, "b", [{"text": "abcdefgh", "prov": [{"page_no": 1}]}], [{"prov": [{"page_no": 1}], "data": {"table_cells": [{"text": "i J"}, None]}}])]
+    spark.createDataFrame(gz, "gz_id long, doc_id string, texts array<struct<text:string,prov:array<struct<page_no:int>>>>, tables array<struct<prov:array<struct<page_no:int>>,data:struct<table_cells:array<struct<text:string>>>>>").write.parquet(f"{at}/docling_gz.parquet")
     return at
 
 
 def test_coverage_sees_contents_that_came_as_text(spark, folder):
-    got = {(r.doc_id, r.page_no): (r.ref_chars, r.shared) for r in quality.coverage_pages(spark, folder).collect()}
+    got = {(r.doc_id, r.page_no): (r.ref_chars, r.shared) for r in quality.coverage_small_pages(spark, folder).collect()}
     assert got == {("a", 1): (30, 0), ("a", 2): (30, 0), ("b", 1): (30, 10), ("d", 1): (30, 0)}
     assert {r.doc_id: r.pages for r in quality.coverage_summary(spark, folder).collect()} == {"a": 2, "b": 1, "d": 1, "ALL": 4}
 
