@@ -217,9 +217,14 @@ def training_sample(gz: DataFrame, sample_items: int = SAMPLE_ITEMS, sample_char
 
     The sample is bounded: the top distinct texts per language by a hash, so that copies of one text do not fill it.
     """
-    rows = gz.select(label_language(F.col("lang_label")).alias("lang"), F.explode("texts.text").alias("text")).where(F.col("lang").isNotNull() & F.length("text").between(80, 2000))
-    ranked = rows.distinct().withColumn("n", F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("text"), "text"))).where(F.col("n") <= sample_items)
-    rows = ranked.select("lang", "text").orderBy("lang", "n").collect()  # at most languages x sample_items rows
+    rows = gz.select(label_language(F.col("lang_label")).alias("lang"), F.explode("texts.text").alias("text")).where(F.col("lang").isNotNull() & F.length("text").between(80, 2000)).withColumn("h", F.xxhash64("text"))
+    # Only hashes are compared to find the sample; the texts are fetched for those that are in it.
+    ranked = rows.select("lang", "h").distinct().withColumn("n", F.row_number().over(Window.partitionBy("lang").orderBy("h"))).where(F.col("n") <= sample_items)
+    last = {r.lang: r.h for r in ranked.groupBy("lang").agg(F.max("h").alias("h")).collect()}
+    inside = F.lit(False)
+    for lang, h in last.items():
+        inside = inside | (F.col("lang") == lang) & (F.col("h") <= h)
+    rows = rows.where(inside).select("lang", "h", "text").distinct().orderBy("lang", "h", "text").collect()  # at most languages x sample_items texts
     labelled = list(dict.fromkeys((r.lang, p) for r in rows for p, full in sentences(r.text) if full))
     got: dict[str, list[str]] = {k: [] for k in LANGS}
     for lang, piece in labelled:
