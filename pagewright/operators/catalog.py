@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pagewright.functions.scalars import stripped
-from pagewright.session import cut
+from pagewright.session import cut, width
 
 MAX_DEPTH = 20
 
@@ -23,16 +23,23 @@ def container_walk(edges: DataFrame, seeds: DataFrame, max_depth: int = MAX_DEPT
     ``edges`` (parent, child), ``seeds`` (root). One join and one anti-join a level; the frontier
     is checkpointed so that neither the plan nor a lost executor's work grows with the depth.
     """
-    seen = seeds.select("root", F.col("root").alias("node"), F.lit(0).alias("depth")).distinct()
-    frontier = seen
+    levels = [cut(seeds.select("root", F.col("root").alias("node"), F.lit(0).alias("depth")).distinct())]
     links = edges.where("parent IS NOT NULL AND child IS NOT NULL").select(F.col("parent").alias("node"), "child").distinct()
     for depth in range(1, max_depth + 1):
-        nxt = frontier.select("root", "node").join(links, "node").select("root", F.col("child").alias("node")).distinct().join(seen.select("root", "node"), ["root", "node"], "left_anti")
-        frontier = cut(nxt.withColumn("depth", F.lit(depth)))
+        nxt = levels[-1].select("root", "node").join(links, "node").select("root", F.col("child").alias("node")).distinct()
+        # Each level is written once; what was seen is the union of the levels.
+        frontier = cut(nxt.join(_union(levels).select("root", "node"), ["root", "node"], "left_anti").withColumn("depth", F.lit(depth)))
         if frontier.isEmpty():
             break
-        seen = cut(seen.unionByName(frontier))
-    return seen
+        levels.append(frontier)
+    return _union(levels)
+
+
+def _union(parts: list[DataFrame]) -> DataFrame:
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
 
 
 def merge(old: DataFrame, new: DataFrame, key: str, fields: list[str]) -> DataFrame:
@@ -90,6 +97,27 @@ def completeness(pages: DataFrame, members: DataFrame) -> DataFrame:
     return g.select("box", "members", "total", (F.col("ok") & F.col("total").isNotNull() & (F.col("members") >= F.coalesce("total", F.lit(0)))).alias("complete"))
 
 
+def numbered(rows: DataFrame, order: list[Column], name: str) -> DataFrame:
+    """Rows numbered from 1 in a total order: range partitions, each counted on from those before it, so no task sees all rows."""
+    keys = [f"_o{i}" for i in range(len(order))]
+    placed = cut(rows.select("*", *[c.alias(k) for c, k in zip(order, keys)]).repartitionByRange(width(rows.sparkSession), *keys).withColumn("_p", F.spark_partition_id()))
+    before = Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)  # as many rows as partitions
+    sizes = placed.groupBy("_p").agg(F.count(F.lit(1)).alias("_n")).withColumn("_b", F.coalesce(F.sum("_n").over(before), F.lit(0))).select("_p", "_b")
+    own = F.row_number().over(Window.partitionBy("_p").orderBy(*keys))
+    return placed.withColumn("_r", own).join(F.broadcast(sizes), "_p").withColumn(name, (F.col("_r") + F.col("_b")).cast("bigint")).drop("_p", "_b", "_r", *keys)
+
+
+def by_priority(sources: DataFrame, names: tuple[str, ...]) -> DataFrame:
+    """(doc_id, source, files) of the best source of a filing: ``sources`` has doc_id, prio, name, part_no.
+
+    Of the best priority 0 only the last name is used; files of any other are listed in part order.
+    """
+    best = sources.groupBy("doc_id").agg(F.min("prio").alias("best"))
+    g = sources.join(best, "doc_id").where("prio = best").groupBy("doc_id", "best").agg(F.max("name").alias("last"), F.array_sort(F.collect_list(F.struct("part_no", "name"))).alias("x"))
+    source = F.element_at(F.array(*[F.lit(n) for n in names]), F.col("best") + 1)
+    return g.select("doc_id", source.alias("source"), F.when(F.col("best") == 0, F.col("last")).otherwise(F.array_join(F.transform("x", lambda v: v["name"]), " ")).alias("files"))
+
+
 def latest(rows: DataFrame, key: list[str], order: list[str]) -> DataFrame:
     """The newest row of each key, nulls oldest."""
     rest = [c for c in rows.columns if c not in key]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pagewright.functions.scalars import NUMERIC_CELL
@@ -31,6 +31,13 @@ def numeric_column_outliers(cells: DataFrame, least: int = 10) -> DataFrame:
     return g.where((F.col("n") >= least) & (F.col("bad") == 1)).select(*COLUMN, "n", "value")
 
 
+def listed(suspects: DataFrame, key: list[str], most: int) -> DataFrame:
+    """Suspects in reading order, numbered per ``key``: by page, unknown pages last, then column; ``most`` at most, ``over`` says how many more there are."""
+    w = Window.partitionBy(*key)
+    ranked = suspects.select("*", F.row_number().over(w.orderBy(F.col("page").asc_nulls_last(), "c", "suspect", "sibling")).alias("n"), F.greatest(F.count(F.lit(1)).over(w) - most, F.lit(0)).alias("over"))
+    return ranked.where(F.col("n") <= most)
+
+
 def mode_choice(modes: DataFrame, key: list[str]) -> DataFrame:
     """Whether the alternate table mode is kept: only tried where the first dropped cells."""
     better = (F.col("alt_dropped") < F.col("dropped")) | ((F.col("alt_dropped") == F.col("dropped")) & (F.col("alt_text") > F.col("text")))

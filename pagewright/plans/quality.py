@@ -203,16 +203,6 @@ def doc_quality(spark: SparkSession, d: str) -> DataFrame:
         F.count_if(F.col("p.agreement") == "agree").alias("agree"), F.count_if(F.col("p.agreement") == "numbers_differ").alias("numbers_differ"))
 
 
-@R.query(P_SQL + " SELECT meta_id, avg(p.text_agreement) AS text_mean, avg(p.numeric_agreement) AS numeric_mean FROM pages GROUP BY ALL")
-def confidence_mean(spark: SparkSession, d: str) -> DataFrame:
-    return fx.meta_pages(spark, d).groupBy("meta_id").agg(F.avg("p.text_agreement").alias("text_mean"), F.avg("p.numeric_agreement").alias("numeric_mean"))
-
-
-@R.query(P_SQL + ", e AS (SELECT meta_id, pos, unnest(map_entries(p.variant_agreement.per_variant)) AS x FROM pages) SELECT meta_id, pos, x.key AS variant, x.value.numeric AS numeric FROM e WHERE x.value.numeric < 0.6")
-def low_confidence(spark: SparkSession, d: str) -> DataFrame:
-    return fx.meta_pages(spark, d).select("meta_id", "pos", F.explode(F.map_filter("p.variant_agreement.per_variant", lambda k, v: v["numeric"] < 0.6)).alias("variant", "x")).select("meta_id", "pos", "variant", F.col("x.numeric").alias("numeric"))
-
-
 @R.query(P_SQL + ", s AS (SELECT meta_id, list_sort(list(p.seconds)) AS v FROM pages WHERE p.seconds IS NOT NULL GROUP BY ALL) SELECT meta_id, v[len(v) // 2 + 1] AS seconds FROM s")
 def upper_median(spark: SparkSession, d: str) -> DataFrame:
     v = F.array_sort(F.collect_list("p.seconds"))
