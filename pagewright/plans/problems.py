@@ -186,7 +186,7 @@ FROM (SELECT az_id, node, path, x FROM child WHERE node = 'content_word' UNION A
 
 
 def _table_sql(source: str, parent: str, columns: str) -> str:
-    return _HEAD_SQL + f"SELECT az_id AS rec_id, path, {parent} AS parent_node, {_PARENT if parent != 'NULL' else 'NULL'} AS parent, {columns} FROM {source}"
+    return _HEAD_SQL + f"SELECT az_id AS rec_id, path, {parent} AS parent_node, {_PARENT if not parent.startswith('NULL') else parent} AS parent, {columns} FROM {source}"
 
 
 _CHILD = "(SELECT * FROM child WHERE node = '{0}')".format
@@ -198,7 +198,7 @@ def _map_sql(name: str, columns: str) -> str:
 
 
 P1_TABLE_SQL = {
-    "p1_table_content": _table_sql("content", "NULL", f"{_TEXT('markdown')} AS markdown, {_NUMBER('endPageNumber', 'INT')} AS endPageNumber"),
+    "p1_table_content": _table_sql("content", "NULL::VARCHAR", f"{_TEXT('markdown')} AS markdown, {_NUMBER('endPageNumber', 'INT')} AS endPageNumber"),
     "p1_table_page": _table_sql(_CHILD("page"), "'content'", f"{_NUMBER('pageNumber', 'INT')} AS pageNumber"),
     "p1_table_paragraph": _table_sql(_CHILD("paragraph"), "'content'", f"{_TEXT('role')} AS role, {_TEXT('content')} AS content"),
     "p1_table_section": _table_sql(_CHILD("section"), "'content'", "CAST(json_extract(x, '$.elements') AS VARCHAR[]) AS elements"),
