@@ -344,15 +344,31 @@ def page_shapes(spark: SparkSession, d: str) -> DataFrame:
     return g.select("gz_id", "page", F.when(F.col("t") & F.col("p"), "table+picture").when(F.col("t"), "table").when(F.col("p"), "picture").otherwise("text").alias("shape"))
 
 
-V_SQL = "WITH " + fx.WARNINGS_SQL + """, k AS (SELECT *, CASE WHEN message LIKE '%pdf cells%' THEN 'table_cells_dropped' WHEN message LIKE '%clamped%' THEN 'bbox_clamped' WHEN message LIKE '%empty result%' THEN 'ocr_empty' WHEN message LIKE '%timeout%' THEN 'timeout' ELSE 'other' END AS kind,
-  try_cast(regexp_extract(message, '(\\d+) of (\\d+) pdf cells .*? of the (\\d+x\\d+) grid', 1) AS INT) AS dropped, try_cast(regexp_extract(message, '(\\d+) of (\\d+) pdf cells .*? of the (\\d+x\\d+) grid', 2) AS INT) AS total FROM warns WHERE logger <> 'fontTools.subset'),
-l AS (SELECT *, CASE WHEN total > 0 THEN round(dropped / total, 4) END AS ratio FROM k)"""
+# What tells a warning's kind, the first that fits; warnings of the code itself; loggers left out.
+KINDS = (("table_cells_dropped", "matched neither a row nor a column band"), ("ocr_empty", "returned empty result"), ("timeout", "processing timeout"), ("bbox_clamped", "is outside page bounds"))
+OF_THE_CODE = ("DeprecationWarning", "FutureWarning", "PendingDeprecationWarning", "Using padding='same' with even kernel lengths")
+LOGGERS = (fx.LOGGER,)
+DROPPED, ON_PAGE = r"(\d+) of (\d+) pdf cells .*? of the (\d+x\d+) grid", r"on page (\d+)"
+_str = lambda v: "'" + v.replace("'", "''") + "'"
+V_SQL = "WITH " + fx.WARNINGS_SQL + ", k AS (SELECT *, CASE " + " ".join(f"WHEN contains(message, {_str(n)}) THEN '{k}'" for k, n in KINDS) + " ELSE 'other' END AS kind FROM warns WHERE NOT (" + " OR ".join([f"starts_with(logger, {_str(x)})" for x in LOGGERS] + [f"contains(message, {_str(x)})" for x in OF_THE_CODE]) + f""")),
+m AS (SELECT *, CASE WHEN kind = 'table_cells_dropped' THEN regexp_extract(message, '{DROPPED}', ['d', 't', 'g']) END AS x FROM k),
+l AS (SELECT event_id, doc_id, page_no, logger, message, kind, try_cast(x.d AS INT) AS dropped, try_cast(x.t AS INT) AS total, nullif(x.g, '') AS grid, CASE WHEN kind = 'bbox_clamped' THEN try_cast(regexp_extract(message, '{ON_PAGE}', 1) AS INT) END AS clamped_page, CASE WHEN try_cast(x.t AS INT) > 0 THEN round(try_cast(x.d AS INT) / try_cast(x.t AS INT), 4) END AS ratio FROM m)"""
 
 
 def _warned(spark: SparkSession, d: str) -> DataFrame:
-    m, rx = F.col("message"), r"(\d+) of (\d+) pdf cells .*? of the (\d+x\d+) grid"
-    kind = F.when(m.contains("pdf cells"), "table_cells_dropped").when(m.contains("clamped"), "bbox_clamped").when(m.contains("empty result"), "ocr_empty").when(m.contains("timeout"), "timeout").otherwise("other")
-    w = fx.warnings(spark, d).where(F.col("logger") != "fontTools.subset").withColumn("kind", kind).withColumn("dropped", F.regexp_extract(m, rx, 1).try_cast("int")).withColumn("total", F.regexp_extract(m, rx, 2).try_cast("int"))
+    """Warnings about filings with their kind and the numbers in them."""
+    m = F.col("message")
+    out = F.lit(False)
+    for x in LOGGERS:
+        out = out | F.col("logger").startswith(x)
+    for x in OF_THE_CODE:
+        out = out | m.contains(x)
+    kind = F.lit("other")
+    for name, needle in reversed(KINDS):
+        kind = F.when(m.contains(needle), name).otherwise(kind)
+    w = fx.warnings(spark, d).where(~out).withColumn("kind", kind)
+    part = lambda i: F.when(F.col("kind") == "table_cells_dropped", F.nullif(F.regexp_extract(m, DROPPED, i), F.lit("")))
+    w = w.withColumns({"dropped": part(1).try_cast("int"), "total": part(2).try_cast("int"), "grid": part(3), "clamped_page": F.when(F.col("kind") == "bbox_clamped", F.regexp_extract(m, ON_PAGE, 1).try_cast("int"))})
     return w.withColumn("ratio", F.when(F.col("total") > 0, F.round(F.col("dropped") / F.col("total"), 4)))
 
 
@@ -366,9 +382,9 @@ def warning_counts(spark: SparkSession, d: str) -> DataFrame:
     return _warned(spark, d).groupBy("doc_id", "kind").agg(F.count(F.lit(1)).alias("n"))
 
 
-@R.query(V_SQL + " SELECT event_id, dropped, total, ratio FROM l WHERE dropped IS NOT NULL")
+@R.query(V_SQL + " SELECT event_id, dropped, total, ratio, grid, clamped_page FROM l WHERE dropped IS NOT NULL OR clamped_page IS NOT NULL")
 def drop_ratio(spark: SparkSession, d: str) -> DataFrame:
-    return _warned(spark, d).where("dropped IS NOT NULL").select("event_id", "dropped", "total", "ratio")
+    return _warned(spark, d).where("dropped IS NOT NULL OR clamped_page IS NOT NULL").select("event_id", "dropped", "total", "ratio", "grid", "clamped_page")
 
 
 @R.query(V_SQL + " SELECT doc_id, CAST(sum(dropped) AS BIGINT) AS dropped_total, count(*) AS losses, count(*) FILTER (ratio > 0.5) AS severe, max(ratio) AS worst FROM l WHERE ratio IS NOT NULL GROUP BY ALL")

@@ -62,24 +62,25 @@ tabs AS (SELECT gz_id, i - 1 AS t, tables[i] AS tb FROM (SELECT *, unnest(range(
 cells AS (SELECT gz_id, t, page, x.text AS text, coalesce(x.column_header, false) AS header, x.start_row_offset_idx AS r, x.start_col_offset_idx AS c, x.bbox AS bbox FROM (
   SELECT gz_id, t, tb.prov[1].page_no AS page, unnest(tb.data.table_cells) AS x FROM tabs) WHERE x IS NOT NULL)"""
 
-# Reader warnings, made from the event stream.
-MESSAGES = ("{0} of {1} pdf cells in the table of the {2}x4 grid were dropped", "bounding box clamped on page {2}", "page {2} returned empty result", "conversion timeout after {0} s", "plain notice {0}")
+# Reader warnings, made from the event stream: every kind, notices of the code itself, and one logger that is left out.
+LOGGER = "docling.datamodel.stage_model_specs"
 
 
 def warnings(spark: SparkSession, d: str) -> DataFrame:
     e, k = table(spark, d, "events"), F.col("event_id")
+    text = lambda c: c.cast("string")
     msg = (
-        F.when(k % 5 == 0, F.concat((k % 90).cast("string"), F.lit(" of "), (k % 90 + k % 13).cast("string"), F.lit(" pdf cells in the table of the "), (k % 7).cast("string"), F.lit("x4 grid were dropped")))
-        .when(k % 5 == 1, F.concat(F.lit("bounding box clamped on page "), (k % 40).cast("string"))).when(k % 5 == 2, F.concat(F.lit("page "), (k % 40).cast("string"), F.lit(" returned empty result")))
-        .when(k % 5 == 3, F.concat(F.lit("conversion timeout after "), (k % 90).cast("string"), F.lit(" s"))).otherwise(F.concat(F.lit("plain notice "), k.cast("string")))
+        F.when(k % 6 == 0, F.concat(text(k % 90), F.lit(" of "), text(k % 90 + k % 13), F.lit(" pdf cells matched neither a row nor a column band of the "), text(k % 7), F.lit("x4 grid were dropped")))
+        .when(k % 6 == 1, F.concat(F.lit("a box on page "), text(k % 40), F.lit(" is outside page bounds"))).when(k % 6 == 2, F.concat(F.lit("region "), text(k % 40), F.lit(" returned empty result")))
+        .when(k % 6 == 3, F.concat(F.lit("processing timeout after "), text(k % 90), F.lit(" s"))).when((k % 6 == 4) & (k % 4 == 0), F.concat(F.lit("FutureWarning: call "), text(k))).otherwise(F.concat(F.lit("plain notice "), text(k)))
     )
-    return e.select("event_id", (k % 25).alias("doc_id"), (k % 40 + 1).alias("page_no"), F.when(k % 17 == 0, "fontTools.subset").otherwise("reader.core").alias("logger"), msg.alias("message"))
+    return e.select("event_id", (k % 25).alias("doc_id"), (k % 40 + 1).alias("page_no"), F.when(k % 17 == 0, LOGGER).otherwise("reader.core").alias("logger"), msg.alias("message"))
 
 
-WARNINGS_SQL = """warns AS (SELECT event_id, event_id % 25 AS doc_id, event_id % 40 + 1 AS page_no, CASE WHEN event_id % 17 = 0 THEN 'fontTools.subset' ELSE 'reader.core' END AS logger,
-  CASE WHEN event_id % 5 = 0 THEN (event_id % 90)::VARCHAR || ' of ' || (event_id % 90 + event_id % 13)::VARCHAR || ' pdf cells in the table of the ' || (event_id % 7)::VARCHAR || 'x4 grid were dropped'
-       WHEN event_id % 5 = 1 THEN 'bounding box clamped on page ' || (event_id % 40)::VARCHAR WHEN event_id % 5 = 2 THEN 'page ' || (event_id % 40)::VARCHAR || ' returned empty result'
-       WHEN event_id % 5 = 3 THEN 'conversion timeout after ' || (event_id % 90)::VARCHAR || ' s' ELSE 'plain notice ' || event_id::VARCHAR END AS message FROM events)"""
+WARNINGS_SQL = f"""warns AS (SELECT event_id, event_id % 25 AS doc_id, event_id % 40 + 1 AS page_no, CASE WHEN event_id % 17 = 0 THEN '{LOGGER}' ELSE 'reader.core' END AS logger,
+  CASE WHEN event_id % 6 = 0 THEN (event_id % 90)::VARCHAR || ' of ' || (event_id % 90 + event_id % 13)::VARCHAR || ' pdf cells matched neither a row nor a column band of the ' || (event_id % 7)::VARCHAR || 'x4 grid were dropped'
+       WHEN event_id % 6 = 1 THEN 'a box on page ' || (event_id % 40)::VARCHAR || ' is outside page bounds' WHEN event_id % 6 = 2 THEN 'region ' || (event_id % 40)::VARCHAR || ' returned empty result'
+       WHEN event_id % 6 = 3 THEN 'processing timeout after ' || (event_id % 90)::VARCHAR || ' s' WHEN event_id % 6 = 4 AND event_id % 4 = 0 THEN 'FutureWarning: call ' || event_id::VARCHAR ELSE 'plain notice ' || event_id::VARCHAR END AS message FROM events)"""
 
 
 def item_cells(spark: SparkSession, d: str) -> DataFrame:
